@@ -1,0 +1,181 @@
+"""Seeded clinical source rows over given keys.
+
+Each attribute is a pure function of (seed, key, purpose). Rows of other entities can therefore be
+recomputed from their number instead of joined, and the output does not depend on partitioning.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from cohortflow.clinical import vocabulary as v
+from cohortflow.functions import draws, risk, scalars
+from cohortflow.operators.joins import pair_condition
+
+
+def _date(row: Column, purpose: str, first_year: int, last_year: int, seed: int) -> Column:
+    days = (last_year - first_year + 1) * 365 + sum(y % 4 == 0 for y in range(first_year, last_year + 1))
+    return scalars.iso_date_after(f"{first_year}-01-01", draws.integer(row, purpose, 0, days - 1, seed).cast("int"))
+
+
+def patient_attributes(row: Column, seed: int = 42) -> dict[str, Column]:
+    """Attributes of patient number ``row``; labs rise with age and weight."""
+    age = draws.integer(row, "age", 18, 85, seed)
+    gender = draws.choice(row, "gender", v.GENDERS, seed)
+    male = gender == "Male"
+    height = F.round(draws.gaussian(row, "height", F.when(male, 165.0).otherwise(155.0), 8, seed), 1)
+    weight = F.round(draws.gaussian(row, "weight", F.when(male, 72.0).otherwise(62.0), 15, seed), 1)
+    bmi = scalars.bmi(weight, height)
+    drawn = F.slice(
+        F.array(*[draws.choice(row, f"condition {k}", v.CONDITIONS, seed) for k in range(3)]),
+        1,
+        draws.integer(row, "conditions", 0, 3, seed).cast("int"),
+    )
+    conditions = scalars.distinct_or_default(drawn, "None")
+    alt = draws.gaussian(row, "alt", 25, 10, seed) + (age - 40) * 0.3 + scalars.clamp_low(bmi - 28, 0.0) * 1.5
+    creatinine = draws.gaussian(row, "creatinine", 1.0, 0.2, seed) + (age - 40) * 0.005
+    return {
+        "patient_id": scalars.format_id("PAT", row, 5),
+        "age": age,
+        "gender": gender,
+        "height_cm": height,
+        "weight_kg": weight,
+        "bmi": bmi,
+        "blood_type": draws.choice(row, "blood", v.BLOOD_TYPES, seed),
+        "region": draws.choice(row, "region", v.REGIONS, seed),
+        "pre_existing_conditions": conditions,
+        "num_pre_existing": scalars.count_without(conditions, "None").cast("bigint"),
+        "baseline_alt_iu_l": F.round(scalars.clamp_low(alt, 5.0), 1),
+        "baseline_creatinine_mg_dl": F.round(scalars.clamp_low(creatinine, 0.4), 2),
+        "enrollment_date": _date(row, "enrolled", 2018, 2024, seed),
+    }
+
+
+def trial_attributes(row: Column, seed: int = 42) -> dict[str, Column]:
+    """Attributes of trial number ``row`` (from 1); drug and indication go round the fixed lists."""
+    slot = F.pmod(row - 1, F.lit(len(v.DRUGS))).cast("int")
+    return {
+        "trial_id": scalars.format_id("TRIAL", row, 3),
+        "trial_name": F.concat(
+            F.lit("Study "), scalars.letter(slot), F.lit("-"), draws.integer(row, "study", 100, 999, seed).cast("string")
+        ),
+        "drug_name": F.element_at(F.array(*map(F.lit, v.DRUGS)), slot + 1),
+        "indication": F.element_at(F.array(*map(F.lit, v.INDICATIONS)), slot + 1),
+        "phase": draws.choice(row, "phase", v.PHASES, seed),
+        "start_date": _date(row, "start", 2019, 2022, seed),
+        "end_date": _date(row, "end", 2023, 2025, seed),
+        "status": draws.choice(row, "status", v.TRIAL_STATUSES, seed),
+        "target_enrollment": draws.integer(row, "enrollment", 100, 500, seed),
+        "sponsor": draws.choice(row, "sponsor", v.SPONSORS, seed),
+        "sites": draws.integer(row, "sites", 3, 20, seed),
+    }
+
+
+def _named(columns: dict[str, Column], prefix: str = "") -> list[Column]:
+    return [c.alias(prefix + name) for name, c in columns.items()]
+
+
+def synth_patients(keys: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """One patient per key (whole numbers from 1)."""
+    return keys.select(*_named(patient_attributes(F.col(key), seed)))
+
+
+def synth_trials(keys: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    return keys.select(*_named(trial_attributes(F.col(key), seed)))
+
+
+def _with_parents(keys: DataFrame, key: str, purpose: str, patients: int, trials: int, seed: int) -> DataFrame:
+    """Number each row and attach the drawn patient's and trial's attributes, computed in place."""
+    rows = keys.select(F.col(key).alias("_row"))
+    drawn = rows.select(
+        "_row",
+        draws.integer(F.col("_row"), f"{purpose} patient", 1, patients, seed).alias("_patient"),
+        draws.integer(F.col("_row"), f"{purpose} trial", 1, trials, seed).alias("_trial"),
+    )
+    patient, trial = patient_attributes(F.col("_patient"), seed), trial_attributes(F.col("_trial"), seed)
+    wanted = ("patient_id", "age", "bmi", "num_pre_existing", "baseline_alt_iu_l", "baseline_creatinine_mg_dl")
+    return drawn.select(
+        "_row",
+        *_named({c: patient[c] for c in wanted}),
+        *_named({c: trial[c] for c in ("trial_id", "drug_name", "indication")}),
+        draws.choice(F.col("_row"), f"{purpose} dosage", v.DOSAGES_MG, seed).cast("bigint").alias("dosage_mg"),
+    )
+
+
+def synth_results(keys: DataFrame, key: str, patients: int, trials: int, seed: int = 42) -> DataFrame:
+    """One visit per key; the response depends on arm and dosage, tumour size exists for cancer trials only."""
+    row = F.col("_row")
+    base = _with_parents(keys, key, "result", patients, trials, seed).withColumn(
+        "treatment_arm", draws.choice(row, "arm", v.ARMS, seed)
+    )
+    u = draws.uniform(row, "response", seed)
+    by_kind = {kind: draws.weighted(u, v.RESPONSES, weights) for kind, weights in v.RESPONSE_WEIGHTS.items()}
+    strong = F.col("treatment_arm").isin(*v.ACTIVE_ARMS) & (F.col("dosage_mg") >= 200)
+    response = (
+        F.when(strong, by_kind["strong"])
+        .when(F.col("treatment_arm") == "Placebo", by_kind["placebo"])
+        .otherwise(by_kind["other"])
+    )
+    alt = risk.projected_lab(
+        F.col("baseline_alt_iu_l"), F.col("dosage_mg"), noise=draws.gaussian(row, "visit alt", 0, 8, seed)
+    )
+    creatinine = F.col("baseline_creatinine_mg_dl") + draws.gaussian(row, "visit creatinine", 0, 0.1, seed)
+    tumour = F.round(draws.gaussian(row, "tumour", 35, 15, seed), 1)
+    return base.select(
+        scalars.format_id("RES", row, 6).alias("result_id"),
+        "patient_id",
+        "trial_id",
+        "drug_name",
+        "treatment_arm",
+        "dosage_mg",
+        draws.integer(row, "visit", 1, 12, seed).alias("visit_number"),
+        _date(row, "visit date", 2020, 2024, seed).alias("visit_date"),
+        response.alias("response"),
+        scalars.null_unless_contains(tumour, F.col("indication"), "Cancer").alias("tumor_size_mm"),
+        draws.integer(row, "systolic", 100, 180, seed).alias("blood_pressure_systolic"),
+        draws.integer(row, "diastolic", 60, 110, seed).alias("blood_pressure_diastolic"),
+        draws.integer(row, "heart rate", 55, 110, seed).alias("heart_rate_bpm"),
+        F.round(alt, 1).alias("alt_iu_l"),
+        F.round(scalars.clamp_low(creatinine, 0.4), 2).alias("creatinine_mg_dl"),
+    )
+
+
+def synth_adverse_events(keys: DataFrame, key: str, patients: int, trials: int, seed: int = 42) -> DataFrame:
+    """One event per key; score, severity, outcome and label follow the risk rules."""
+    row = F.col("_row")
+    base = (
+        _with_parents(keys, key, "event", patients, trials, seed)
+        .withColumn("concomitant_drug", draws.choice(row, "concomitant", v.DRUGS, seed))
+        .withColumn(
+            "drug_interaction_flag", pair_condition(v.INTERACTING_DRUGS, F.col("drug_name"), F.col("concomitant_drug"))
+        )
+        .withColumn("_points", risk.risk_points(noise=draws.gaussian(row, "risk", 0, 1.0, seed)))
+        .withColumn("severity", risk.severity_bucket(F.col("_points")))
+    )
+    u = draws.uniform(row, "outcome", seed)
+    outcome = F.lit(None).cast("string")
+    for severity, weights in v.OUTCOME_WEIGHTS.items():
+        outcome = F.when(F.col("severity") == severity, draws.weighted(u, v.OUTCOMES, weights)).otherwise(outcome)
+    ae_type = risk.override_category(
+        draws.choice(row, "type", v.EVENT_TYPES, seed),
+        F.col("severity") == "Severe",
+        draws.uniform(row, "redraw", seed),
+        draws.choice(row, "redrawn type", risk.REDRAWN_SERIOUS_TYPES, seed),
+    )
+    return base.withColumn("ae_type", ae_type).select(
+        scalars.format_id("AE", row, 6).alias("event_id"),
+        "patient_id",
+        "trial_id",
+        "drug_name",
+        "dosage_mg",
+        "concomitant_drug",
+        "drug_interaction_flag",
+        "ae_type",
+        "severity",
+        risk.rounded_score(F.col("_points")).alias("risk_score"),
+        _date(row, "onset", 2020, 2024, seed).alias("onset_date"),
+        draws.integer(row, "days", 1, 365, seed).alias("days_on_treatment"),
+        outcome.alias("outcome"),
+        risk.serious_label(F.col("severity"), F.col("ae_type")).alias("serious"),
+        draws.choice(row, "reporter", v.REPORTERS, seed).alias("reported_by"),
+    )

@@ -1,0 +1,47 @@
+"""Seeded draws as pure functions of (seed, row id, purpose): the same for every partitioning and retry."""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import Column, functions as F
+
+_STEPS = 2**52
+
+
+def uniform(row: Column, purpose: str, seed: int = 42) -> Column:
+    """[0, 1)"""
+    return F.pmod(F.xxhash64(F.lit(seed), F.lit(purpose), row), F.lit(_STEPS)) / F.lit(float(_STEPS))
+
+
+def integer(row: Column, purpose: str, low: int, high: int, seed: int = 42) -> Column:
+    """Whole number from low to high, both included."""
+    return (F.lit(low) + F.floor(uniform(row, purpose, seed) * (high - low + 1))).cast("bigint")
+
+
+def pick(u: Column, values: Sequence) -> Column:
+    """Element of ``values`` for a uniform ``u``."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.floor(u * len(values)) + 1).cast("int"))
+
+
+def choice(row: Column, purpose: str, values: Sequence, seed: int = 42) -> Column:
+    return pick(uniform(row, purpose, seed), values)
+
+
+def weighted(u: Column, values: Sequence[str], weights: Sequence[float]) -> Column:
+    """Element of ``values`` by weight; an element of weight 0 never comes up."""
+    chances = [(v, w) for v, w in zip(values, weights) if w > 0]
+    total, reached, expression = sum(weights), 0.0, None
+    for value, weight in chances[:-1]:
+        reached += weight / total
+        test = u < reached
+        expression = F.when(test, value) if expression is None else expression.when(test, value)
+    return F.lit(chances[-1][0]) if expression is None else expression.otherwise(chances[-1][0])
+
+
+def gaussian(row: Column, purpose: str, mean: Column | float, sd: float, seed: int = 42) -> Column:
+    """Box-Muller over two uniforms."""
+    radius = F.sqrt(-2 * F.log(1 - uniform(row, purpose + "/radius", seed)))
+    angle = F.cos(2 * math.pi * uniform(row, purpose + "/angle", seed))
+    return (mean if isinstance(mean, Column) else F.lit(float(mean))) + radius * angle * sd
