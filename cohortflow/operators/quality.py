@@ -42,7 +42,10 @@ def expect_or_drop(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
 
 
 def expect_warn(df: DataFrame, rules: Sequence[Expectation], observation: Observation) -> DataFrame:
-    """Keep all rows; violation counts of the warn rules arrive in ``observation`` with the first action."""
+    """Keep all rows; violation counts of the warn rules arrive in ``observation`` with the first action.
+
+    For plans that run once. Below a range sort, whose sampling runs its input twice, use ``quality_report``.
+    """
     counts = [F.count_if(~r.holds).alias(r.name) for r in rules if r.action == "warn"]
     return df.observe(observation, F.count("*").alias("rows"), *counts)
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cohortflow.clinical import gold
-from cohortflow.clinical.silver import SILVER_TABLES, to_silver
+from cohortflow.clinical.silver import SILVER_TABLES, to_silver, typed_columns
+from cohortflow.operators.quality import quality_report
 from cohortflow.sources.tables import materialize
 from cohortflow.streaming.ingest import append_to_table, json_stream
 
@@ -21,29 +23,43 @@ TABLES = tuple(
 def ingest_bronze(
     spark: SparkSession,
     database: str,
-    source_dir: str,
+    sources: Mapping[str, str],
     checkpoint_dir: str,
     schemas: Mapping[str, T.StructType],
+    name_glob: str = "{entity}*.json",
     multi_line: bool = True,
 ) -> None:
-    """One stream per entity, all reading the shared folder by file name, running side by side."""
+    """One stream per entity, running side by side. Entities may share a folder: the file name tells them apart."""
     queries = []
     for table in SILVER_TABLES:
-        stream = json_stream(spark, source_dir, schemas[table.entity], f"{table.entity}*.json", multi_line)
+        stream = json_stream(
+            spark, sources[table.entity], schemas[table.entity], name_glob.format(entity=table.entity), multi_line
+        )
         queries.append(append_to_table(stream, f"{database}.{table.source}", f"{checkpoint_dir}/{table.entity}"))
     for query in queries:
         query.awaitTermination()
 
 
-def refresh_silver(spark: SparkSession, database: str) -> dict[str, dict[str, int]]:
-    """Recompute the silver tables; returns the counts of the warn rules per table."""
-    warnings = {}
+def refresh_silver(spark: SparkSession, database: str) -> None:
+    """Recompute the silver tables from bronze."""
     for table in SILVER_TABLES:
-        seen = Observation(f"{table.name}_warnings")
-        silver = to_silver(spark.read.table(f"{database}.{table.source}"), table, seen)
+        silver = to_silver(spark.read.table(f"{database}.{table.source}"), table)
         materialize(silver, f"{database}.{table.name}", table.cluster_by, table.comment)
-        warnings[table.name] = seen.get
-    return warnings
+
+
+def silver_report(spark: SparkSession, database: str) -> DataFrame:
+    """table, rule, action, passed, failed, dropped for all rules, counted over bronze.
+
+    Reads only the columns the rules mention. Counting apart from the write keeps the numbers right when
+    the write's range sort or a lost executor runs a part of its plan twice.
+    """
+    parts = [
+        quality_report(typed_columns(spark.read.table(f"{database}.{t.source}"), t), t.rules).select(
+            F.lit(t.name).alias("table"), "*"
+        )
+        for t in SILVER_TABLES
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def gold_frames(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, functions as F
 
 from cohortflow.operators.joins import check_many_to_one
 
@@ -32,7 +32,7 @@ class NamedFilter(Term):
 
 
 class Dimension(Term):
-    def group(self, df: DataFrame):
+    def group(self, df: DataFrame) -> GroupedData:
         return df.groupBy(F.expr(self.sql).alias(self.name))
 
 
@@ -145,17 +145,17 @@ class SemanticModel:
         return spark.createDataFrame(rows, "word string, kind string, name string")
 
 
-def phrases(text, longest: int):
+def phrases(text: Column, longest: int) -> Column:
     """All runs of 1..``longest`` words of a text, lower case."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
-    runs = [
-        F.transform(
-            F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(F.array().cast("array<int>")),
-            lambda start, n=n: F.array_join(F.slice(words, start, n), " "),
+
+    def runs_of(n: int) -> Column:
+        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(
+            F.array().cast("array<int>")
         )
-        for n in range(1, longest + 1)
-    ]
-    return F.concat(*runs)
+        return F.transform(starts, lambda start: F.array_join(F.slice(words, start, n), " "))
+
+    return F.concat(*[runs_of(n) for n in range(1, longest + 1)])
 
 
 def resolve_terms(asked: DataFrame, text: str, model: SemanticModel) -> DataFrame:
