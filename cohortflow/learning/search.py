@@ -72,7 +72,7 @@ def param_search(
 
     pool = ThreadPool(max(1, min(parallelism, trials)))
     try:
-        rows = pool.map(inheritable_thread_target(run), range(trials))
+        rows = pool.map(inheritable_thread_target(split_rows.sparkSession)(run), range(trials))
     finally:
         pool.close()
     return split_rows.sparkSession.createDataFrame(

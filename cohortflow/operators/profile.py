@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from cohortflow.operators.report import rounded_mean
 from cohortflow.plans.lineage import broadcast_if_small, cut_lineage
 from cohortflow.plans.ordered import running_totals
 
@@ -221,4 +222,4 @@ def means_by_group(df: DataFrame, key: str, digits: dict[str, int]) -> DataFrame
     def numeric(c: str) -> Column:
         return F.col(c).cast("int") if types[c] == "boolean" else F.col(c)
 
-    return df.groupBy(key).agg(*[F.round(F.avg(numeric(c)), d).alias(f"mean_{c}") for c, d in digits.items()])
+    return df.groupBy(key).agg(*[rounded_mean(numeric(c), d).alias(f"mean_{c}") for c, d in digits.items()])

@@ -7,6 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+def rounded_mean(value: Column, digits: int) -> Column:
+    """Mean of the non-null values, rounded half up.
+
+    The mean is fixed to nine decimals first: a sum of doubles depends on the row order in its last bits,
+    and those must not decide how a tie is rounded.
+    """
+    return F.round(F.round(F.avg(value), 9), digits)
+
+
 def group_report(
     df: DataFrame,
     keys: Sequence[str],
@@ -21,7 +30,7 @@ def group_report(
     """
     aggregates = [F.count("*").alias(total)] if total else []
     aggregates += [F.count_if(condition).alias(name) for name, condition in (counts or {}).items()]
-    aggregates += [F.round(F.avg(c), digits).alias(name) for name, (c, digits) in (means or {}).items()]
+    aggregates += [rounded_mean(F.col(c), digits).alias(name) for name, (c, digits) in (means or {}).items()]
     return df.groupBy(*keys).agg(*aggregates)
 
 

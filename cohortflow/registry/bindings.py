@@ -76,6 +76,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **used)
 
 
+def rounded_sql(expression: str, digits: int) -> str:
+    """Round half up on the decimal value: binary ties would round either way in DuckDB."""
+    return f"CAST(round(CAST({expression} AS DECIMAL(38,9)), {digits}) AS DOUBLE)"
+
+
 def with_views(sql: str, **extra: str) -> str:
     """``sql`` for DuckDB, preceded by the views (and ``extra`` named expressions) it mentions."""
     plain = {name: text.format(**{t: t for t in TABLES}) for name, text in VIEWS.items()}

@@ -8,11 +8,11 @@ from cohortflow.clinical import gold
 from cohortflow.clinical.silver import ADVERSE_EVENTS, CLINICAL_TRIALS, PATIENTS, TRIAL_RESULTS, SilverTable, to_silver, typed_columns
 from cohortflow.operators import joins, quality, report
 from cohortflow.operators.latest import latest_per_group
-from cohortflow.registry.bindings import LATEST, table, view, with_views
+from cohortflow.registry.bindings import LATEST, rounded_sql, table, view, with_views
 
 # --- gold -----------------------------------------------------------------------------------------
 
-SAFETY_SQL = """
+SAFETY_SQL = f"""
 SELECT e.*, t.trial_name, t.phase, t.sponsor, t.indication FROM (
   SELECT trial_id, drug_name, count(*) AS total_adverse_events,
     count(*) FILTER (WHERE serious) AS serious_event_count,
@@ -21,18 +21,18 @@ SELECT e.*, t.trial_name, t.phase, t.sponsor, t.indication FROM (
     count(*) FILTER (WHERE severity = 'Mild') AS mild_count,
     count(*) FILTER (WHERE drug_interaction_flag) AS drug_interaction_count,
     count(*) FILTER (WHERE outcome = 'Fatal') AS fatal_outcome_count,
-    round(avg(risk_score), 2) AS avg_risk_score
+    {rounded_sql('avg(risk_score)', 2)} AS avg_risk_score
   FROM b_events GROUP BY trial_id, drug_name) e
 LEFT JOIN b_trials t ON e.trial_id = t.trial_id"""
-EFFICACY_SQL = """
+EFFICACY_SQL = f"""
 SELECT e.*, t.trial_name, t.phase, t.sponsor, t.indication FROM (
   SELECT drug_name, treatment_arm, trial_id, count(*) AS total_observations,
     count(*) FILTER (WHERE response = 'Complete Response') AS complete_response_count,
     count(*) FILTER (WHERE response = 'Partial Response') AS partial_response_count,
     count(*) FILTER (WHERE response = 'Stable Disease') AS stable_disease_count,
     count(*) FILTER (WHERE response = 'Progressive Disease') AS progressive_disease_count,
-    round(avg(blood_pressure_systolic), 1) AS avg_systolic_bp, round(avg(heart_rate_bpm), 1) AS avg_heart_rate,
-    round(avg(alt_iu_l), 1) AS avg_alt, round(avg(creatinine_mg_dl), 2) AS avg_creatinine
+    {rounded_sql('avg(blood_pressure_systolic)', 1)} AS avg_systolic_bp, {rounded_sql('avg(heart_rate_bpm)', 1)} AS avg_heart_rate,
+    {rounded_sql('avg(alt_iu_l)', 1)} AS avg_alt, {rounded_sql('avg(creatinine_mg_dl)', 2)} AS avg_creatinine
   FROM b_results GROUP BY drug_name, treatment_arm, trial_id) e
 LEFT JOIN b_trials t ON e.trial_id = t.trial_id"""
 LATEST_SQL = f"""
@@ -263,8 +263,8 @@ FROM b_events GROUP BY ae_type"""
     "rounded_means": (
         _means,
         with_views(
-            """SELECT drug_name, treatment_arm, round(avg(blood_pressure_systolic), 1) AS avg_systolic_bp,
-  round(avg(heart_rate_bpm), 1) AS avg_heart_rate, round(avg(alt_iu_l), 1) AS avg_alt, round(avg(creatinine_mg_dl), 2) AS avg_creatinine
+            f"""SELECT drug_name, treatment_arm, {rounded_sql('avg(blood_pressure_systolic)', 1)} AS avg_systolic_bp,
+  {rounded_sql('avg(heart_rate_bpm)', 1)} AS avg_heart_rate, {rounded_sql('avg(alt_iu_l)', 1)} AS avg_alt, {rounded_sql('avg(creatinine_mg_dl)', 2)} AS avg_creatinine
 FROM b_results GROUP BY drug_name, treatment_arm"""
         ),
     ),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortflow.operators import compare, profile, report
 from cohortflow.operators.leakage import leakage_screen
-from cohortflow.registry.bindings import table, view, with_views
+from cohortflow.registry.bindings import rounded_sql, table, view, with_views
 
 NUMBERS = ["dosage_mg", "days_on_treatment", "risk_score"]
 CORRELATED = [*NUMBERS, "drug_interaction_flag", "serious"]
@@ -93,9 +93,9 @@ def _signal(spark: SparkSession, d: str) -> DataFrame:
     return profile.means_by_group(merged, "severity", digits)
 
 
-SIGNAL_SQL = """SELECT severity, round(avg(age), 1) AS mean_age, round(avg(bmi), 1) AS mean_bmi, round(avg(dosage_mg), 1) AS mean_dosage_mg,
-  round(avg(baseline_alt_iu_l), 1) AS mean_baseline_alt_iu_l, round(avg(num_pre_existing), 2) AS mean_num_pre_existing,
-  round(avg(CAST(drug_interaction_flag AS INT)), 3) AS mean_drug_interaction_flag, round(avg(risk_score), 2) AS mean_risk_score
+SIGNAL_SQL = f"""SELECT severity, {rounded_sql('avg(age)', 1)} AS mean_age, {rounded_sql('avg(bmi)', 1)} AS mean_bmi, {rounded_sql('avg(dosage_mg)', 1)} AS mean_dosage_mg,
+  {rounded_sql('avg(baseline_alt_iu_l)', 1)} AS mean_baseline_alt_iu_l, {rounded_sql('avg(num_pre_existing)', 2)} AS mean_num_pre_existing,
+  {rounded_sql('avg(CAST(drug_interaction_flag AS INT))', 3)} AS mean_drug_interaction_flag, {rounded_sql('avg(risk_score)', 2)} AS mean_risk_score
 FROM b_events e LEFT JOIN b_patients p ON e.patient_id = p.patient_id GROUP BY severity"""
 
 
@@ -188,6 +188,6 @@ QUERIES = {
         lambda s, d: report.top_k(
             report.group_report(table(s, d, "lineitem"), ["l_partkey"], total="n", means={"avg_quantity": ("l_quantity", 4)}), "avg_quantity", 10, ["l_partkey"]
         ),
-        "SELECT l_partkey, count(*) AS n, round(avg(l_quantity), 4) AS avg_quantity FROM lineitem GROUP BY 1 ORDER BY avg_quantity DESC, l_partkey LIMIT 10",
+        f"SELECT l_partkey, count(*) AS n, {rounded_sql('avg(l_quantity)', 4)} AS avg_quantity FROM lineitem GROUP BY 1 ORDER BY avg_quantity DESC, l_partkey LIMIT 10",
     ),
 }

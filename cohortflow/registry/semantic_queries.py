@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortflow.registry.bindings import ONCOLOGY, table, view, with_views
+from cohortflow.registry.bindings import ONCOLOGY, rounded_sql, table, view, with_views
 from cohortflow.registry.gold_queries import GOLD_SQL, gold_efficacy, gold_outcomes, gold_safety, gold_tables
 from cohortflow.semantic.clinical import EFFICACY, OUTCOMES, SAFETY, clinical_model
 from cohortflow.semantic.model import Dimension, NamedFilter, SemanticModel, resolve_terms, smoke_report
@@ -13,8 +13,8 @@ from cohortflow.sources.tables import column_comments, describe_columns
 MODEL = clinical_model(oncology=ONCOLOGY, default_trial=7)
 BUILDERS = {EFFICACY: gold_efficacy, SAFETY: gold_safety, OUTCOMES: gold_outcomes}
 
-ORR = "round((complete_response_count + partial_response_count) * CAST(100 AS DOUBLE) / total_observations, 1)"
-SAE = "round(serious_event_count * CAST(100 AS DOUBLE) / total_adverse_events, 1)"
+ORR = rounded_sql('(complete_response_count + partial_response_count) * CAST(100 AS DOUBLE) / total_observations', 1)
+SAE = rounded_sql('serious_event_count * CAST(100 AS DOUBLE) / total_adverse_events', 1)
 IN_ONCOLOGY = "indication IN (" + ", ".join(f"'{i}'" for i in ONCOLOGY) + ")"
 
 
@@ -185,7 +185,7 @@ WHERE {IN_ONCOLOGY} AND treatment_arm IN ('Drug', 'Drug + Standard of Care')"""
     ),
     "risk_by_sponsor": (
         _ask("risk_by_sponsor"),
-        _sql("SELECT sponsor, round(avg(avg_risk_score), 2) AS mean_risk_score FROM gold_trial_safety_summary GROUP BY sponsor"),
+        _sql(f"SELECT sponsor, {rounded_sql('avg(avg_risk_score)', 2)} AS mean_risk_score FROM gold_trial_safety_summary GROUP BY sponsor"),
     ),
     "q_phase3_events": (
         _ask("phase3_events"),

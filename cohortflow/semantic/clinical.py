@@ -31,7 +31,7 @@ def clinical_model(oncology=tuple(ONCOLOGY), default_trial: object = "TRIAL-001"
                 "Serious events in percent of all adverse events",
             ),
             Measure("responders", EFFICACY, responders, (), "Complete and partial responses"),
-            Measure("mean_risk_score", SAFETY, "ROUND(AVG(avg_risk_score), 2)", (), "Unweighted mean of the trials' means"),
+            Measure("mean_risk_score", SAFETY, "ROUND(ROUND(AVG(avg_risk_score), 9), 2)", (), "Unweighted mean of the trials' means"),
             Measure("complete_responders", OUTCOMES, "COUNT(*)", (), "Patients with the filtered response"),
         ),
         filters=(
