@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cohortflow.plans.lineage import broadcast_if_small, cut_lineage
+
 
 def join_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], attributes: Sequence[str]) -> DataFrame:
     """Left join that adds ``attributes`` of ``dim``; facts without a dimension row stay, with nulls.
@@ -16,6 +18,33 @@ def join_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], attributes: S
     return fact.join(dim.select(*keys, *attributes), list(keys), "left")
 
 
+def join_dim_salted(
+    fact: DataFrame, dim: DataFrame, keys: Sequence[str], attributes: Sequence[str], hot_share: float = 0.001, salts: int = 64
+) -> DataFrame:
+    """The same left join with hot keys split by hand, for a ``dim`` that is itself an aggregate.
+
+    AQE splits a hot key only between two plain shuffles; an aggregate on one side hides it. A key is hot
+    when it holds more than ``hot_share`` of the facts, so there are fewer than ``1 / hot_share`` of them and
+    they can be broadcast. Their facts spread over ``salts`` by the task that read them (stable under
+    retries), and only their dimension rows are repeated. Facts with a null key match nothing and spread too.
+    """
+    keys = list(keys)
+    counted = fact.groupBy(*keys).agg(F.count("*").alias("_n"))
+    share = F.col("_n") / counted.agg(F.sum("_n")).scalar()
+    hot = F.broadcast(cut_lineage(counted.filter(share > hot_share).select(*keys)).withColumn("_hot", F.lit(True)))
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    salted_fact = fact.join(hot, keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | no_key, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
+    )
+    every_salt = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_dim = dim.select(*keys, *attributes).join(hot, keys, "left").select(
+        *keys, *attributes, F.explode(every_salt).alias("_salt")
+    )
+    return salted_fact.drop("_hot").join(salted_dim, [*keys, "_salt"], "left").drop("_salt")
+
+
 def pair_table(spark: SparkSession, pairs: Mapping[str, Sequence[str]], left: str, right: str) -> DataFrame:
     """The (left, right) rows of a lookup written as ``{left: [right, ...]}``."""
     rows = [(key, value) for key, values in pairs.items() for value in values]
@@ -23,10 +52,10 @@ def pair_table(spark: SparkSession, pairs: Mapping[str, Sequence[str]], left: st
 
 
 def flag_known_pairs(df: DataFrame, pairs: DataFrame, left: str, right: str, flag: str) -> DataFrame:
-    """Boolean column: is (left, right) one of ``pairs``. Expects few pairs, which Catalyst broadcasts."""
+    """Boolean column: is (left, right) one of ``pairs``. A pair table of proven size keeps ``df`` in place."""
     known = pairs.select(left, right).distinct().withColumn("_known", F.lit(True))
     return (
-        df.join(known, [left, right], "left").withColumn(flag, F.coalesce("_known", F.lit(False))).drop("_known")
+        df.join(broadcast_if_small(known), [left, right], "left").withColumn(flag, F.coalesce("_known", F.lit(False))).drop("_known")
     )
 
 

@@ -28,17 +28,15 @@ class Expectation:
         return F.coalesce(F.expr(self.predicate), F.lit(False))
 
 
-def _all_hold(rules: Sequence[Expectation], action: str) -> Column:
-    condition = F.lit(True)
-    for rule in rules:
-        if rule.action == action:
-            condition = condition & rule.holds
-    return condition
-
-
 def expect_or_drop(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
-    """Keep the rows that meet every drop rule; a plain filter, so it can reach the scan."""
-    return df.filter(_all_hold(rules, "drop"))
+    """Keep the rows that meet every drop rule.
+
+    Bare predicates (a filter treats null as false anyway), so that Catalyst can push them to the scan.
+    """
+    for rule in rules:
+        if rule.action == "drop":
+            df = df.filter(rule.predicate)
+    return df
 
 
 def expect_warn(df: DataFrame, rules: Sequence[Expectation], observation: Observation) -> DataFrame:

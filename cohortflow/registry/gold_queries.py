@@ -198,7 +198,7 @@ def _dim_left(spark: SparkSession, d: str) -> DataFrame:
 
 def _composite(spark: SparkSession, d: str) -> DataFrame:
     visits = view(spark, d, "b_results").select("patient_id", "trial_id", "l_orderkey", "visit_number")
-    return joins.join_dim(
+    return joins.join_dim_salted(
         visits, gold.event_counts(view(spark, d, "b_events")), ["patient_id", "trial_id"], ["adverse_event_count", "serious_ae_count"]
     )
 
