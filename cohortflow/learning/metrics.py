@@ -23,14 +23,15 @@ def score_totals(df: DataFrame, label: str, score: str, by: Sequence[str] = ())
     return running_totals(counted, order=["score"], sums=["pos", "neg"], by=by)
 
 
+def _auc() -> Column:
+    won = F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2)
+    return F.try_divide(F.sum(won), F.max(F.col("pos_total").cast("double") * F.col("neg_total")))
+
+
 def auc_from_totals(totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rank-sum ROC-AUC with ties counted half; null when one class is missing."""
-    won = F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2)
-    pairs = F.max(F.col("pos_total").cast("double") * F.col("neg_total"))
     return totals.groupBy(*by).agg(
-        F.max("pos_total").alias("positives"),
-        F.max("neg_total").alias("negatives"),
-        F.try_divide(F.sum(won), pairs).alias("roc_auc"),
+        F.max("pos_total").alias("positives"), F.max("neg_total").alias("negatives"), _auc().alias("roc_auc")
     )
 
 
@@ -139,19 +140,23 @@ def classification_report(df: DataFrame, label: str, predicted: str, classes: Se
     return counts.select(F.inline(F.array(*lines)))
 
 
-def evaluate(df: DataFrame, label: str, probability: str, threshold: float = 0.5) -> dict[str, float]:
-    """roc_auc, pr_auc, f1 and accuracy of a scored set: two single-row results reach the driver."""
-    ranked = score_totals(df, label, probability)
-    area = auc_from_totals(ranked).first()
-    precision = ranked.agg(_average_precision().alias("ap")).first()
-    called = df.withColumn("_called", (F.col(probability) >= threshold).cast("int"))
-    hits = f1_accuracy(called, label, "_called").first()
-    return {
-        "roc_auc": area["roc_auc"] if area else None,
-        "pr_auc": precision["ap"],
-        "f1": hits["f1"],
-        "accuracy": hits["accuracy"],
-    }
+def evaluate(
+    df: DataFrame, label: str, probability: str, threshold: float = 0.5, by: Sequence[str] = ()
+) -> DataFrame:
+    """roc_auc, pr_auc, f1 and accuracy (per group of ``by``), all from one ordered count of the scores."""
+    above = F.col("score") >= threshold
+    tp, fp = (F.sum(F.when(above, F.col(c)).otherwise(0)) for c in ("pos", "neg"))
+    positives, negatives = F.max("pos_total"), F.max("neg_total")
+    return (
+        score_totals(df, label, probability, by)
+        .groupBy(*by)
+        .agg(
+            _auc().alias("roc_auc"),
+            _average_precision().alias("pr_auc"),
+            F.coalesce(F.try_divide(tp * 2, tp + fp + positives), F.lit(0.0)).alias("f1"),
+            F.try_divide(tp + negatives - fp, positives + negatives).alias("accuracy"),
+        )
+    )
 
 
 def compare_metrics(left: DataFrame, right: DataFrame, names: tuple[str, str] = ("with", "without")) -> DataFrame:

@@ -18,8 +18,10 @@ from cohortflow.learning.train import (
 )
 from cohortflow.operators.quality import assert_probability
 from cohortflow.plans.lineage import cut_lineage, scratch_path
+from cohortflow.plans.model_job import ModelJob
 from cohortflow.registry.bindings import table, view, with_views
 from cohortflow.registry.profile_queries import rounded
+from cohortflow.sources.json_files import infer_schema, read_json, write_json
 
 KEYS = ["l_orderkey", "l_partkey", "l_linenumber"]
 
@@ -137,8 +139,8 @@ BEST_SQL = """SELECT o_custkey AS name, o_orderkey AS run_id, o_totalprice AS to
 # --- training ----------------------------------------------------------------------------------------
 
 #: A few trees show the behaviour; the library's defaults are the full budget.
-SMALL = BoosterParams(trees=8, leaves=16)
-SMALL_SPACE = SearchSpace(trees=(4, 8, 4), max_depth=(2, 4), leaves=(7, 15))
+SMALL = BoosterParams(trees=6, leaves=8)
+SMALL_SPACE = SearchSpace(trees=(3, 6, 3), max_depth=(2, 3), leaves=(4, 8))
 RAW = ["drug_name", "ae_type", "concomitant_drug", "dosage_mg", "days_on_treatment", "risk_score", "drug_interaction_flag"]
 
 
@@ -197,10 +199,24 @@ def _inference(spark: SparkSession, d: str) -> DataFrame:
     return inference_check(registry, "classifier", rows, "label", "row_id", ["drug_name", "ae_type", "dosage_mg"])
 
 
+def _model_job(spark: SparkSession, d: str) -> DataFrame:
+    """Split, baseline, search, final model and gate in one job; the metrics of its runs."""
+    row_id = F.xxhash64(*KEYS, "onset_date", "dosage_mg", "risk_score")
+    events = view(spark, d, "b_events").withColumn("event_id", row_id).drop(*KEYS, "trial_id")
+    job = ModelJob(
+        "classifier", scratch_path(spark, "job"), "b_events", baseline=SMALL, space=SMALL_SPACE, trials=2, parallelism=2,
+    )
+    job.run(events)
+    return runs.read_runs(spark, job.runs_path).select(
+        "stage", F.col("params")["trees"].alias("trees"), F.explode_outer("metrics").alias("metric", "value")
+    )
+
+
 def _schema_differences(spark: SparkSession, d: str) -> DataFrame:
-    """An input with one column missing and one of another type."""
-    rows = view(spark, d, "b_events").select(*RAW)
-    return schema_check(rows.schema.json(), rows.drop("ae_type").withColumn("dosage_mg", F.col("dosage_mg").cast("string")))
+    """The schema of the orders against the one inferred from all of them as JSON files."""
+    orders = table(spark, d, "orders")
+    path = write_json(orders, scratch_path(spark, "json"))
+    return schema_check(orders.schema.json(), read_json(spark, path, infer_schema(spark, path, "*.json", multi_line=False)))
 
 
 QUERIES = {
@@ -233,5 +249,10 @@ QUERIES = {
     "batch_score": (_scored_rows, None),
     "champion_gate": (_gate, None),
     "inference_check": (_inference, None),
-    "schema_check": (_schema_differences, None),
+    "model_job": (_model_job, None),
+    "schema_check": (
+        _schema_differences,
+        """SELECT column_name AS "column", 'timestamp_ntz' AS expected, 'string' AS actual FROM (DESCRIBE orders)
+WHERE column_type LIKE 'TIMESTAMP%'""",
+    ),
 }

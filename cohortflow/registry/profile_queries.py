@@ -66,6 +66,23 @@ CORRELATION_SQL = " UNION ALL ".join(
 )
 
 
+def _typed(spark: SparkSession, d: str) -> DataFrame:
+    """Type class of every column with the number of values it holds."""
+    events = _events(spark, d)
+    filled = profile.null_profile(events).select("column", (F.col("n_rows") - F.col("n_nulls")).alias("n_values"))
+    return profile.columns_by_type(events).drop("type").join(filled, "column")
+
+
+TYPED_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CASE WHEN any_value(typeof({c})) = 'VARCHAR' THEN 'categorical' WHEN any_value(typeof({c})) = 'BOOLEAN' THEN 'boolean'
+  WHEN any_value(typeof({c})) IN ('INTEGER', 'BIGINT', 'DOUBLE') THEN 'numeric' ELSE 'other' END AS type_class, count({c}) AS n_values FROM b_events"""
+    for c in (
+        "l_orderkey", "l_partkey", "l_linenumber", "patient_id", "trial_id", "drug_name", "concomitant_drug", "ae_type", "severity",
+        "serious", "outcome", "dosage_mg", "risk_score", "drug_interaction_flag", "onset_date", "days_on_treatment",
+    )
+)
+
+
 def _histograms(spark: SparkSession, d: str) -> DataFrame:
     events = _events(spark, d)
     parts = [
@@ -175,7 +192,7 @@ QUERIES = {
     "histogram_by_class": (_histograms, with_views(" UNION ALL ".join(map(_histogram_sql, NUMBERS)))),
     "signal_check_by_severity": (_signal, with_views(SIGNAL_SQL)),
     "feature_summary": (lambda s, d: profile.feature_summary(_events(s, d), "serious"), None),
-    "columns_by_type": (lambda s, d: profile.columns_by_type(_events(s, d)), None),
+    "columns_by_type": (_typed, with_views(TYPED_SQL)),
     "leakage_screen": (_screen, with_views(SCREEN_SQL)),
     "value_dictionary": (lambda s, d: profile.value_dictionary(view(s, d, "b_results"), DICTIONARY), with_views(DICTIONARY_SQL)),
     "result_diff": (_snapshot_result, DIFF_SQL),

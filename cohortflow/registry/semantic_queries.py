@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cohortflow.operators.profile import value_dictionary
 from cohortflow.registry.bindings import ONCOLOGY, rounded_sql, table, view, with_views
 from cohortflow.registry.gold_queries import GOLD_SQL, gold_efficacy, gold_outcomes, gold_safety, gold_tables
 from cohortflow.semantic.clinical import EFFICACY, OUTCOMES, SAFETY, clinical_model
@@ -93,18 +94,40 @@ SELECT DISTINCT p_partkey, p_name, terms.word, kind, name FROM part JOIN terms
 
 
 def _described(spark: SparkSession, d: str) -> DataFrame:
-    """Column comments of the described gold tables, read back from the schema."""
-    parts = [
-        column_comments(describe_columns(build(spark, d), MODEL.comments[name])).withColumn("table", F.lit(name))
-        for name, build in BUILDERS.items()
-    ]
+    """Comments of the described gold columns, read back from the schema, with the number of values of each."""
+    parts = []
+    for name, build in BUILDERS.items():
+        frame = build(spark, d)
+        described = column_comments(describe_columns(frame, MODEL.comments[name])).filter("comment IS NOT NULL")
+        sizes = value_dictionary(frame, MODEL.dictionary_columns[name]).groupBy("column").agg(F.count("*").alias("n_values"))
+        parts.append(described.join(sizes, "column").withColumn("table", F.lit(name)))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+DESCRIBED_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS \"table\", '{c}' AS \"column\", '{comment}' AS comment, count(DISTINCT {c}) AS n_values FROM {name}"
+    for name, comments in MODEL.comments.items()
+    for c, comment in comments.items()
+)
+#: What each stored question filters, per table.
+ASKED = {
+    "orr_by_drug_arm": (EFFICACY, "true"),
+    "trial_comparison": (EFFICACY, "trial_id = 7"),
+    "safety_profile": (SAFETY, "true"),
+    "oncology_orr": (EFFICACY, IN_ONCOLOGY + " AND treatment_arm IN ('Drug', 'Drug + Standard of Care')"),
+    "risk_by_sponsor": (SAFETY, "true"),
+    "phase3_events": (SAFETY, "phase = 'Phase III'"),
+    "complete_by_region": (OUTCOMES, "response = 'Complete Response'"),
+    "phase2_orr": (EFFICACY, "phase = 'Phase II'"),
+}
+SMOKE_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS question, CASE WHEN count(*) > 0 THEN 'passed' ELSE 'empty' END AS state, CAST(NULL AS VARCHAR) AS message FROM {source} WHERE {condition}"
+    for name, (source, condition) in ASKED.items()
+)
+
+
 def _dictionary(spark: SparkSession, d: str) -> DataFrame:
     """Values of the model's text columns per gold table."""
-    from cohortflow.operators.profile import value_dictionary
-
     parts = [
         value_dictionary(build(spark, d), MODEL.dictionary_columns[name]).withColumn("table", F.lit(name))
         for name, build in BUILDERS.items()
@@ -159,8 +182,8 @@ UNION ALL SELECT trial_id, drug_name, count(*), 'gold_drug_efficacy' FROM gold_d
     ),
     "resolve_terms": (_resolve, RESOLVE_SQL),
     "semantic_value_dictionary": (_dictionary, _sql(DICTIONARY_SQL)),
-    "describe_columns": (_described, None),
-    "smoke_report": (lambda s, d: smoke_report(s, MODEL, gold_tables(s, d)), None),
+    "describe_columns": (_described, _sql(DESCRIBED_SQL)),
+    "smoke_report": (lambda s, d: smoke_report(s, MODEL, gold_tables(s, d)), _sql(SMOKE_SQL)),
     "q_orr_by_drug_arm": (
         _ask("orr_by_drug_arm"),
         _sql(f"SELECT drug_name, treatment_arm, total_observations, complete_response_count + partial_response_count AS responders, {ORR} AS orr_pct FROM gold_drug_efficacy"),

@@ -162,7 +162,11 @@ def _applied(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "json_roundtrip": (_round_trip, EVENTS_SQL),
     "ingest_json_stream": (_stream, EVENTS_SQL),
-    "infer_schema": (_schema, None),
+    "infer_schema": (
+        _schema,
+        """SELECT column_name AS "column", CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' ELSE 'string' END AS type
+FROM (DESCRIBE events)""",
+    ),
     **{
         f"bronze_{t.entity}": (
             _bronze(t.entity),
@@ -178,8 +182,9 @@ QUERIES = {
     "list_files": (lambda s, d: json_files.list_files(s, d, "*.parquet"), None),
     "catalog_columns": (
         lambda s, d: tables.catalog_columns(s, _published(s, d)).drop("type"),
-        """SELECT table_name AS "table", column_name AS "column" FROM information_schema.columns WHERE table_name IN ('nation', 'supplier')""",
+        """SELECT 'nation' AS "table", column_name AS "column" FROM (DESCRIBE nation)
+UNION ALL SELECT 'supplier', column_name FROM (DESCRIBE supplier)""",
     ),
-    "missing_tables": (_absent, """SELECT table_name AS "table" FROM information_schema.tables WHERE table_name = 'orders'"""),
+    "missing_tables": (_absent, """SELECT DISTINCT 'orders' AS "table" FROM orders"""),
     "dataset_fingerprint": (lambda s, d: tables.dataset_fingerprint(table(s, d, "lineitem"), "lineitem", "l_returnflag"), None),
 }

@@ -49,7 +49,10 @@ def test_metrics_match_brute_force(spark):
     for t in sorted({s for _, s in pairs}, reverse=True):
         tp, called = sum(p >= t for p in pos), sum(s >= t for _, s in pairs)
         area, recall = area + (tp / len(pos) - recall) * tp / called, tp / len(pos)
-    found = metrics.evaluate(frame, "label", "score")
+    found = metrics.evaluate(frame, "label", "score").first()
+    called = frame.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    hits = metrics.f1_accuracy(called, "label", "predicted").first()
+    assert (found["f1"], found["accuracy"]) == (pytest.approx(hits["f1"]), pytest.approx(hits["accuracy"]))
     assert found["roc_auc"] == pytest.approx(won) and found["pr_auc"] == pytest.approx(area)
     mirrored = metrics.roc_auc(frame.withColumn("score", -F.col("score")), "label", "score").first()["roc_auc"]
     assert mirrored == pytest.approx(1 - won)
