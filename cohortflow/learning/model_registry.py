@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from cohortflow.learning import metrics
 from cohortflow.learning.train import with_probability
@@ -33,10 +36,12 @@ class ModelRegistry:
         self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
 
     def events(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], SCHEMA)
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.log_path)
-        known = folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
-        return self.spark.read.schema(SCHEMA).parquet(self.log_path) if known else empty
+        try:
+            return self.spark.read.schema(SCHEMA).parquet(self.log_path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], SCHEMA)
 
     def register(self, name: str, model: PipelineModel, input_schema: str | None = None) -> int:
         """Save the whole pipeline as the next version."""
@@ -103,9 +108,6 @@ def champion_gate(
 
 def schema_check(expected_json: str, rows: DataFrame) -> DataFrame:
     """column, expected, actual for every column of a saved input schema that is absent or of another type."""
-    from pyspark.sql.types import StructType
-    import json
-
     wanted = {f.name: f.dataType.simpleString() for f in StructType.fromJson(json.loads(expected_json)).fields}
     present = dict(rows.dtypes)
     wrong = [(c, kind, present.get(c)) for c, kind in wanted.items() if present.get(c) != kind]

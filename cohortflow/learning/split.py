@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortflow.plans.lineage import broadcast_if_small, cut_lineage
+from cohortflow.plans.lineage import cut_lineage, is_small
 
 NAMES = ("train", "validation", "test")
 SHARES = (0.70, 0.15, 0.15)
@@ -52,19 +52,20 @@ def stratified_split(
             for k, share in enumerate(reached)
         ]
     )
-    edges = (
+    edges = cut_lineage(
         placed.select(label, "_bucket", "_before", "_n", F.inline(ranks))
         .filter((F.col("rank") > F.col("_before")) & (F.col("rank") <= F.col("_before") + F.col("_n")))
         .select(label, "_bucket", "cut", (F.col("rank") - F.col("_before")).alias("_local"))
     )
-    edge_buckets = edges.select(label, "_bucket").distinct()
+    # edges has at most one row per label and cut, and the tables derived from it have no more
+    hinted = F.broadcast if is_small(edges) else (lambda side: side)
     ranked = (
         rows.select(label, id_column, "_hash", bucket.alias("_bucket"))
-        .join(broadcast_if_small(edge_buckets), [label, "_bucket"], "left_semi")
+        .join(hinted(edges.select(label, "_bucket").distinct()), [label, "_bucket"], "left_semi")
         .withColumn("_local", F.row_number().over(Window.partitionBy(label, "_bucket").orderBy("_hash", id_column)))
     )
-    cutting = (
-        ranked.join(broadcast_if_small(edges), [label, "_bucket", "_local"])
+    cutting = cut_lineage(
+        ranked.join(hinted(edges), [label, "_bucket", "_local"])
         .groupBy(label)
         .agg(
             *[
@@ -78,7 +79,7 @@ def stratified_split(
     for k, name in enumerate(names[:-1]):
         split = split.when(here <= F.col(f"_cut_{k}"), name)
     return (
-        rows.join(broadcast_if_small(cut_lineage(cutting)), label, "left")
+        rows.join(hinted(cutting), label, "left")
         .withColumn("split", split.otherwise(names[-1]))
         .select(*df.columns, "split")
     )

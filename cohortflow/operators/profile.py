@@ -125,29 +125,38 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _rows_from(totals, lines)
 
 
-def histogram_by_class(df: DataFrame, column: str, label: str, bins: int = 30) -> DataFrame:
-    """label, bin, lower, upper, n, density: equal bins over each class's own range.
+def histogram_by_class(df: DataFrame, columns: str | Sequence[str], label: str, bins: int = 30) -> DataFrame:
+    """column, label, bin, lower, upper, n, density: equal bins over each class's own range.
 
-    The last bin includes the maximum. A class with a single value gets the range value ± 0.5. Empty bins
-    are not listed.
+    Two passes for any number of columns: one for the ranges, one for the counts. The last bin includes
+    the maximum. A class with a single value gets the range value ± 0.5. Empty bins are not listed.
     """
-    rows = df.select(F.col(label), F.col(column).cast("double").alias("_x")).filter(
-        F.col("_x").isNotNull() & F.col(label).isNotNull()
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    rows = df.filter(F.col(label).isNotNull()).select(label, *[F.col(c).cast("double").alias(c) for c in columns])
+    spans = rows.groupBy(label).agg(
+        *[
+            F.struct(
+                F.lit(c).alias("column"), F.min(c).alias("_low"), F.max(c).alias("_high"), F.count(c).alias("_n")
+            ).alias(f"_{i}")
+            for i, c in enumerate(columns)
+        ]
     )
-    ranges = rows.groupBy(label).agg(F.min("_x").alias("_low"), F.max("_x").alias("_high"), F.count("*").alias("_n"))
     flat = F.col("_low") == F.col("_high")
     ranges = cut_lineage(
-        ranges.select(
+        spans.select(label, F.inline(F.array(*[f"_{i}" for i in range(len(columns))]))).select(
             label,
+            "column",
             "_n",
             F.when(flat, F.col("_low") - 0.5).otherwise(F.col("_low")).alias("_low"),
             F.when(flat, F.col("_high") + 0.5).otherwise(F.col("_high")).alias("_high"),
         )
     )
-    position = F.floor((F.col("_x") - F.col("_low")) / (F.col("_high") - F.col("_low")) * bins)
+    position = F.floor((F.col("value") - F.col("_low")) / (F.col("_high") - F.col("_low")) * bins)
     counted = (
-        rows.join(broadcast_if_small(ranges), label)
-        .groupBy(label, F.least(position, F.lit(bins - 1)).alias("bin"))
+        long_format(rows, columns, extra=[label])
+        .filter(F.col("value").isNotNull())
+        .join(broadcast_if_small(ranges), [label, "column"])
+        .groupBy("column", label, F.least(position, F.lit(bins - 1)).alias("bin"))
         .agg(
             F.count("*").alias("n"),
             F.first("_low").alias("_low"),
@@ -156,6 +165,7 @@ def histogram_by_class(df: DataFrame, column: str, label: str, bins: int = 30) -
         )
     )
     return counted.select(
+        "column",
         label,
         "bin",
         (F.col("_low") + F.col("bin") * F.col("_width")).alias("lower"),

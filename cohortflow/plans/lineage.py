@@ -43,9 +43,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """A bounded count: stops once it is clear that there are more rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` if a bounded count proves it small.
 
     A larger side is returned unhinted: it takes the shuffle join, whose hot keys AQE splits.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df

@@ -84,16 +84,11 @@ TYPED_SQL = " UNION ALL ".join(
 
 
 def _histograms(spark: SparkSession, d: str) -> DataFrame:
-    events = _events(spark, d)
-    parts = [
-        rounded(profile.histogram_by_class(events, c, "serious"), 9, "lower", "upper", "density").withColumn("feature", F.lit(c))
-        for c in ("risk_score", "dosage_mg", "days_on_treatment")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rounded(profile.histogram_by_class(_events(spark, d), NUMBERS, "serious"), 9, "lower", "upper", "density")
 
 
 def _histogram_sql(c: str) -> str:
-    return f"""SELECT '{c}' AS feature, serious, bin, round(low + bin * width, 9) AS lower, round(low + (bin + 1) * width, 9) AS upper,
+    return f"""SELECT '{c}' AS "column", serious, bin, round(low + bin * width, 9) AS lower, round(low + (bin + 1) * width, 9) AS upper,
   count(*) AS n, round(count(*) / (any_value(total) * width), 9) AS density
 FROM (SELECT e.serious, low, total, (high - low) / 30 AS width, least(CAST(floor((CAST({c} AS DOUBLE) - low) / (high - low) * 30) AS BIGINT), 29) AS bin
   FROM b_events e JOIN (SELECT serious, CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high, count(*) AS total FROM b_events GROUP BY serious) r
