@@ -43,6 +43,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialise_evenly(df: DataFrame, *keys: str) -> DataFrame:
+    """Checkpoint ``df`` in even partitions for many CPU-heavy passes.
+
+    AQE sizes the partitions by bytes; a result too small for that to occupy every core is spread once more.
+    """
+    even = cut_lineage(df.repartition(*keys))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return even if even.rdd.getNumPartitions() >= cores else cut_lineage(even.repartition(cores, *keys))
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """A bounded count: stops once it is clear that there are more rows."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -16,7 +16,7 @@ from cohortflow.learning.model_registry import ModelRegistry, champion_gate, inf
 from cohortflow.learning.search import SearchSpace, param_search
 from cohortflow.learning.split import hash_split, stratified_split
 from cohortflow.learning.train import BoosterParams, FeatureColumns, evaluate_splits, params_as_text, train_gbt
-from cohortflow.plans.lineage import cut_lineage
+from cohortflow.plans.lineage import materialise_evenly
 from cohortflow.sources.tables import dataset_fingerprint
 
 # What a model must not see, because it is an id, decided after the event or derived from the label.
@@ -53,7 +53,7 @@ class ModelJob:
             rows = stratified_split(rows, "row_id", "label", seed=self.seed)
         else:
             rows = hash_split(rows, "row_id", seed=self.seed)
-        return cut_lineage(rows.repartition("row_id")), FeatureColumns.of(rows, ["row_id", "label", "split"])
+        return materialise_evenly(rows, "row_id"), FeatureColumns.of(rows, ["row_id", "label", "split"])
 
     def run(self, events: DataFrame) -> DataFrame:
         """Train, search, promote; returns the gate's decision. The steps are in the run table."""

@@ -17,7 +17,7 @@ from cohortflow.learning.train import (
     train_gbt,
 )
 from cohortflow.operators.quality import assert_probability
-from cohortflow.plans.lineage import cut_lineage, scratch_path
+from cohortflow.plans.lineage import materialise_evenly, scratch_path
 from cohortflow.plans.model_job import ModelJob
 from cohortflow.registry.bindings import table, view, with_views
 from cohortflow.registry.profile_queries import rounded
@@ -148,7 +148,7 @@ def _labelled(spark: SparkSession, d: str, leak: bool) -> tuple[DataFrame, Featu
     """All events with a row id, a 0/1 label and their split, materialised once for the many passes of a fit."""
     row_id = F.xxhash64(*KEYS, "onset_date", "dosage_mg", "risk_score")
     rows = view(spark, d, "b_events").select(row_id.alias("row_id"), *RAW, F.col("serious").cast("int").alias("label"))
-    rows = cut_lineage(split.hash_split(rows, "row_id").repartition("row_id"))  # even shares for every pass
+    rows = materialise_evenly(split.hash_split(rows, "row_id"), "row_id")
     ignored = ["row_id", "label", "split"] + ([] if leak else ["risk_score"])
     return rows, FeatureColumns.of(rows, ignored)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cohortflow.learning import encode, metrics, runs, split
 from cohortflow.learning.model_registry import CHALLENGER, CHAMPION, ModelRegistry, batch_score, champion_gate, inference_check, schema_check
 from cohortflow.learning.search import SearchSpace, param_search
-from cohortflow.learning.train import BoosterParams, FeatureColumns, ablate_feature, category_bound, evaluate_splits, train_gbt
+from cohortflow.learning.train import BoosterParams, FeatureColumns, ablate_feature, refuse_wide_categories, evaluate_splits, train_gbt
 from cohortflow.plans.lineage import broadcast_if_small, shared_dir
 from cohortflow.plans.ordered import running_totals
 
@@ -176,7 +176,7 @@ def test_search_reports_one_row_per_trial(spark):
 def test_wide_text_columns_are_refused(spark):
     frame = spark.range(30000).select(F.col("id").cast("string").alias("c"))
     with pytest.raises(ValueError, match="encode"):
-        category_bound(frame, ["c"])
+        refuse_wide_categories(frame, ["c"])
 
 
 def test_broadcast_needs_a_proven_size(spark):
