@@ -154,6 +154,13 @@ def _warned(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _probabilities(spark: SparkSession, d: str) -> DataFrame:
+    """All events with a score that the job itself checks to be a probability."""
+    events = view(spark, d, "b_events")
+    scored = events.select("l_orderkey", "l_partkey", "l_linenumber", (F.col("risk_score") / 6).alias("p"))
+    return quality.assert_probability(scored, "p")
+
+
 def _quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality_report(typed_columns(_bronze(spark, d, PATIENTS), PATIENTS), PATIENTS.rules).unionByName(
         quality.quality_report(typed_columns(_bronze(spark, d, ADVERSE_EVENTS), ADVERSE_EVENTS), ADVERSE_EVENTS.rules)
@@ -238,6 +245,10 @@ QUERIES = {
         _quality,
         with_views(QUALITY_SQL, raw_patients=raw_sql("raw_patients"), raw_adverse_events=raw_sql("raw_adverse_events")),
     ),
+    "assert_probability": (
+        _probabilities,
+        with_views("SELECT l_orderkey, l_partkey, l_linenumber, risk_score / 6 AS p FROM b_events"),
+    ),
     "join_dim_left": (
         _dim_left,
         with_views(

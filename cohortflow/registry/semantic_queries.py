@@ -109,6 +109,18 @@ DESCRIBED_SQL = " UNION ALL ".join(
     for name, comments in MODEL.comments.items()
     for c, comment in comments.items()
 )
+def _inventory(spark: SparkSession, d: str) -> DataFrame:
+    """What the model defines, and how many rows the tables it covers have."""
+    result = MODEL.inventory(spark).select("kind", F.col("n").cast("bigint").alias("n"))
+    for name, frame in gold_tables(spark, d).items():
+        result = result.unionByName(frame.agg(F.count("*").alias("n")).select(F.lit(f"rows of {name}").alias("kind"), "n"))
+    return result
+
+
+INVENTORY_SQL = """SELECT kind, CAST(n AS BIGINT) AS n FROM (VALUES ('tables', 3), ('measures', 5), ('filters', 3), ('dimensions', 1), ('joins', 2),
+  ('questions', 8), ('rephrased questions', 6)) v(kind, n)""" + "".join(
+    f" UNION ALL SELECT 'rows of {name}', count(*) FROM {name}" for name in GOLD_SQL
+)
 #: What each stored question filters, per table.
 ASKED = {
     "orr_by_drug_arm": (EFFICACY, "true"),
@@ -183,6 +195,7 @@ UNION ALL SELECT trial_id, drug_name, count(*), 'gold_drug_efficacy' FROM gold_d
     "resolve_terms": (_resolve, RESOLVE_SQL),
     "semantic_value_dictionary": (_dictionary, _sql(DICTIONARY_SQL)),
     "describe_columns": (_described, _sql(DESCRIBED_SQL)),
+    "model_inventory": (_inventory, _sql(INVENTORY_SQL)),
     "smoke_report": (lambda s, d: smoke_report(s, MODEL, gold_tables(s, d)), _sql(SMOKE_SQL)),
     "q_orr_by_drug_arm": (
         _ask("orr_by_drug_arm"),

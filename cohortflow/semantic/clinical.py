@@ -52,6 +52,7 @@ def clinical_model(oncology=tuple(ONCOLOGY), default_trial: object = "TRIAL-001"
             JoinSpec(OUTCOMES, EFFICACY, ("trial_id", "drug_name", "treatment_arm"), "A patient next to the efficacy of the arm"),
             JoinSpec(EFFICACY, SAFETY, ("trial_id", "drug_name"), "Efficacy next to safety of a drug"),
         ),
+        # Wording, columns and conditions of the questions.
         questions=(
             Question(
                 "orr_by_drug_arm", "What is the ORR by drug and treatment arm?", EFFICACY,
@@ -119,6 +120,7 @@ def clinical_model(oncology=tuple(ONCOLOGY), default_trial: object = "TRIAL-001"
                 order_by=("orr_pct DESC", "drug_name", "treatment_arm"),
             ),
         ),
+        # Which columns are looked up by value.
         dictionary_columns={
             OUTCOMES: ("drug_name", "treatment_arm", "response", "gender", "region", "trial_id"),
             EFFICACY: ("drug_name", "treatment_arm", "trial_id", "trial_name", "phase", "indication", "sponsor"),
