@@ -32,8 +32,8 @@ def stratified_split(
 
     A count per (label, hash bucket) shows in which bucket each cut falls. Only the rows of those few
     buckets (one in ``buckets``) are ranked, which yields one cutting row per label and cut. All other
-    rows are compared with the cutting rows in place and never move. Ids are unique; rows with a null
-    label get a null split.
+    rows are compared with the cutting rows in place and never move. The first two passes read id and label
+    only. Ids are unique; rows with a null label get a null split.
     """
     rows = df.withColumn("_hash", row_hash(id_column, seed) if hashed is None else hashed)
     bucket = F.floor(F.col("_hash") / F.lit(HASH_SPACE // buckets))
