@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortflow.llm import license_scan, pair_rank, rule_ledger, source_mix, token_counts, url_filter
+from cohortflow.llm import license_scan, odd_sketch, pair_rank, rule_ledger, source_mix, token_counts, url_filter
 from cohortflow.plans.lineage import scratch_path
 
 
@@ -97,6 +97,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+def _near(spark: SparkSession, d: str) -> DataFrame:
+    return odd_sketch.near_duplicates(table(spark, d, "documents").select("doc_id", "text"), width=4)
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+e AS (
+  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= 80 * (na.n + nb.n - shared)),
+f AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id, doc_id AS reached FROM d UNION SELECT r.doc_id, f.b FROM r JOIN f ON f.a = r.reached)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(reached) AS component_id, doc_id = min(reached) AS kept
+FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id, n
+"""
+
 QUERIES = {
     "op1_token_counts": _tokens,
     "op2_license_scan": _licenses,
@@ -104,5 +124,6 @@ QUERIES = {
     "op4_source_mix": _mix,
     "op5_quality": _quality,
     "op8_rule_ledger": _rules,
+    "op9_near_duplicates": _near,
 }
-ORACLES = {"op3_url_filter": URLS_SQL, "op8_rule_ledger": RULES_SQL}
+ORACLES = {"op3_url_filter": URLS_SQL, "op8_rule_ledger": RULES_SQL, "op9_near_duplicates": NEAR_SQL}
