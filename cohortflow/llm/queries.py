@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortflow.llm import license_scan, odd_sketch, pair_rank, rule_ledger, source_mix, token_counts, url_filter
+from cohortflow.llm import license_scan, odd_sketch, pair_rank, ppm, rule_ledger, source_mix, token_counts, url_filter
 from cohortflow.plans.lineage import scratch_path
 
 
@@ -117,6 +117,10 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(reached) AS com
 FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id, n
 """
 
+def _language(spark: SparkSession, d: str) -> DataFrame:
+    return ppm.language_scores(table(spark, d, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_token_counts": _tokens,
     "op2_license_scan": _licenses,
@@ -125,5 +129,6 @@ QUERIES = {
     "op5_quality": _quality,
     "op8_rule_ledger": _rules,
     "op9_near_duplicates": _near,
+    "op10_ppm_scores": _language,
 }
 ORACLES = {"op3_url_filter": URLS_SQL, "op8_rule_ledger": RULES_SQL, "op9_near_duplicates": NEAR_SQL}
