@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortflow.llm import license_scan, odd_sketch, pair_rank, ppm, rule_ledger, source_mix, token_counts, toxic_gru, url_filter
+from cohortflow.llm import latent_leaks, license_scan, odd_sketch, pair_rank, ppm, rule_ledger, source_mix, token_counts, toxic_gru, url_filter
 from cohortflow.plans.lineage import scratch_path
 
 
@@ -72,6 +72,10 @@ def _toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxic_gru.toxicity_scores(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return latent_leaks.contamination(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark"))
+
+
 def _rules(spark: SparkSession, d: str) -> DataFrame:
     judged = rule_ledger.apply_policy(rule_ledger.ledger(table(spark, d, "documents").select("doc_id", "text")))
     return judged.select(
@@ -132,6 +136,7 @@ QUERIES = {
     "op4_source_mix": _mix,
     "op5_quality": _quality,
     "op6_toxicity": _toxicity,
+    "op7_benchmark_leaks": _leaks,
     "op8_rule_ledger": _rules,
     "op9_near_duplicates": _near,
     "op10_ppm_scores": _language,
