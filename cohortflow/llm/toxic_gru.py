@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from cohortflow.llm.text import as_bytes, fold, slices
 
 #: Most labelled rows of each class that a fit reads: the one bounded sample.
-FIT_ROWS = 2_000
+FIT_ROWS = 1_500
 CUT = 0.3
 WINDOW, STRIDE = 24, 16
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 8
