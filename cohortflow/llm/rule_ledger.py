@@ -137,7 +137,11 @@ def ablation(rows: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, version: str = CURRENT, text: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that the policy keeps."""
+    """The rows of ``docs``, with all their columns, that the policy keeps.
+
+    The verdict turns a row into a list of one or none. A plain filter would be pushed below the measurements, and every step of
+    their lambdas would then measure anew; store a ledger before filtering it.
+    """
     packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("text"))
     judged = apply_policy(ledger(packed), version)
-    return judged.filter("kept").select("_row.*")
+    return judged.select(F.inline(F.when(F.col("kept"), F.array("_row"))))
