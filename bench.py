@@ -35,7 +35,6 @@ HEADLINE = (
     "q_orr_by_drug_arm",
     "q_complete_by_region",
     "join_outcomes_efficacy",
-    "synth_adverse_events",
     "train_gbt",
 )
 

@@ -1 +1 @@
-"""The clinical domain: fixed vocabulary, silver and gold tables, seeded source rows."""
+"""The clinical domain: fixed vocabulary, silver and gold tables."""

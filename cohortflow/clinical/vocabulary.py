@@ -1,53 +1,4 @@
-"""Fixed values of the clinical domain: names, categories and weights that results depend on."""
+"""Fixed values of the clinical domain: categories that results depend on."""
 
-REGIONS = ["North America", "South America", "Europe", "Asia", "Africa", "Oceania", "Middle East"]
-GENDERS = ["Male", "Female"]
-BLOOD_TYPES = ["A+", "A-", "B+", "B-", "O+", "O-", "AB+", "AB-"]
-CONDITIONS = ["Diabetes", "Hypertension", "Asthma", "Hepatitis B", "CKD", "Obesity", "Anemia", "None"]
-
-DRUGS = [
-    "Nexivora", "Cardiflex", "Oncozumab", "Renapril", "Hepacure",
-    "Pulmovent", "Neurostil", "Dermavax", "Glucomine", "Immunorel",
-    "Thrombaxin", "Gastroval", "Osteonex", "Retivir", "Anxiolam",
-]
-INDICATIONS = [
-    "Non-Small Cell Lung Cancer", "Type 2 Diabetes", "Chronic Kidney Disease",
-    "Hepatocellular Carcinoma", "Rheumatoid Arthritis", "Major Depressive Disorder",
-    "Atrial Fibrillation", "COPD", "Psoriasis", "Breast Cancer",
-    "Colorectal Cancer", "Hypertension", "Osteoporosis", "HIV", "Generalized Anxiety",
-]
 ONCOLOGY = ["Non-Small Cell Lung Cancer", "Breast Cancer", "Colorectal Cancer", "Hepatocellular Carcinoma"]
-PHASES = ["Phase I", "Phase II", "Phase III", "Phase IV"]
-TRIAL_STATUSES = ["Recruiting", "Active", "Completed", "Suspended"]
-SPONSORS = ["PharmaCorp", "Biocon", "Sun Pharma", "MedGenix", "Cipla"]
-INTERACTING_DRUGS = {
-    "Nexivora": ["Hepacure", "Renapril"],
-    "Oncozumab": ["Immunorel", "Thrombaxin"],
-    "Cardiflex": ["Thrombaxin"],
-    "Neurostil": ["Anxiolam"],
-}
-
-ARMS = ["Drug", "Placebo", "Drug + Standard of Care", "Standard of Care"]
 ACTIVE_ARMS = ["Drug", "Drug + Standard of Care"]
-RESPONSES = ["Complete Response", "Partial Response", "Stable Disease", "Progressive Disease"]
-DOSAGES_MG = [50, 100, 150, 200, 250, 300, 400, 500]
-RESPONSE_WEIGHTS = {
-    "strong": [0.25, 0.35, 0.25, 0.15],
-    "placebo": [0.05, 0.15, 0.40, 0.40],
-    "other": [0.15, 0.25, 0.35, 0.25],
-}
-
-EVENT_TYPES = [
-    "Nausea", "Headache", "Fatigue", "Rash", "Diarrhea", "Liver Injury",
-    "Neutropenia", "Anaphylaxis", "Cardiac Arrhythmia", "Renal Impairment",
-    "Peripheral Neuropathy", "Thrombocytopenia", "Injection Site Reaction",
-    "Insomnia", "Dizziness", "Elevated Liver Enzymes", "Hypertension",
-]
-SEVERITIES = ["Mild", "Moderate", "Severe"]
-OUTCOMES = ["Recovered", "Recovering", "Not Recovered", "Fatal", "Unknown"]
-OUTCOME_WEIGHTS = {
-    "Severe": [0.15, 0.20, 0.35, 0.15, 0.15],
-    "Moderate": [0.35, 0.30, 0.20, 0.02, 0.13],
-    "Mild": [0.60, 0.25, 0.08, 0.0, 0.07],
-}
-REPORTERS = ["Physician", "Patient", "Nurse", "Pharmacist"]

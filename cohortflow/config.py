@@ -14,8 +14,6 @@ class JobConfig:
     database: str = "default"
     source_dir: str = ""
     work_dir: str = ""
-    max_rows: int = 500_000
-    max_evals: int = 32
     seed: int = 42
 
     @classmethod

@@ -1 +1 @@
-"""Column expressions: scalars, rule scores, seeded draws."""
+"""Column expressions: scalars, rule scores."""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, functions as F
 
 
@@ -58,10 +56,10 @@ def threshold_class(score: Column, threshold: float = 0.5) -> Column:
     return (score >= threshold).cast("int")
 
 
-def in_list_or(condition: Column, value: Column, values: Sequence[str]) -> Column:
-    return condition | value.isin(*values)
-
-
 def stable_id(*parts: Column) -> Column:
-    """32 hex characters that depend on the parts only."""
-    return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
+    """32 hex characters that depend on the parts only.
+
+    Each part comes with its length and null has a mark of its own, so that moving a separator or a null gives another id.
+    """
+    texts = [p.cast("string") for p in parts]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))

@@ -15,9 +15,10 @@ from cohortflow.learning import metrics
 from cohortflow.learning.train import with_probability
 from cohortflow.operators.latest import latest_per_group
 from cohortflow.operators.quality import assert_probability
+from cohortflow.plans.lineage import cut_lineage
 
 CHAMPION, CHALLENGER = "Champion", "Challenger"
-SCHEMA = "name string, version int, event string, alias string, at timestamp"
+SCHEMA = "name string, version int, event string, alias string, at timestamp, sequence long"
 
 
 @dataclass(frozen=True)
@@ -32,7 +33,8 @@ class ModelRegistry:
         return f"{self.root}/registry"
 
     def _append(self, name: str, version: int, event: str, alias: str | None) -> None:
-        row = (name, version, event, alias, datetime.now(timezone.utc))
+        sequence = self.events().filter(F.col("name") == name).count()  # orders moves of the same instant
+        row = (name, version, event, alias, datetime.now(timezone.utc), sequence)
         self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(self.log_path)
 
     def events(self) -> DataFrame:
@@ -70,7 +72,7 @@ class ModelRegistry:
     def aliases(self, name: str) -> DataFrame:
         """alias, version — the latest pointer of each alias."""
         moves = self.events().filter((F.col("name") == name) & (F.col("event") == "alias"))
-        return latest_per_group(moves, ["alias"], ["at"]).filter("version > 0").select("alias", "version")
+        return latest_per_group(moves, ["alias"], ["sequence"]).filter("version > 0").select("alias", "version")
 
     def version_of(self, name: str, alias: str) -> int | None:
         row = self.aliases(name).filter(F.col("alias") == alias).first()
@@ -123,12 +125,14 @@ def batch_score(model: PipelineModel, rows: DataFrame, threshold: float = 0.5) -
 def inference_check(
     registry: ModelRegistry, name: str, rows: DataFrame, label: str, order: str, shown: list[str], n: int = 10
 ) -> DataFrame:
-    """Load the champion, score the first ``n`` raw rows and show them next to the actual label.
+    """Score all raw rows with the champion and show the first ``n`` next to the actual label.
 
-    Fails on anything that is not a probability.
+    Fails if any row's score is not a probability.
     """
-    champion = registry.load(name, registry.version_of(name, CHAMPION))
-    scored = batch_score(champion, rows.orderBy(order).limit(n))
-    return assert_probability(scored, "predicted_probability").select(
+    version = registry.version_of(name, CHAMPION)
+    if version is None:
+        raise LookupError(f"{name} has no {CHAMPION} yet")
+    scored = cut_lineage(assert_probability(batch_score(registry.load(name, version), rows), "predicted_probability"))
+    return scored.orderBy(order).limit(n).select(
         *shown, "predicted_probability", "predicted_class", F.col(label).cast("int").alias("actual")
     )

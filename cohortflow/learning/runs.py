@@ -45,10 +45,11 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def best_run_by_metric(runs: DataFrame, metric: str, by: str = "name", run_id: str = "run_id") -> DataFrame:
-    """Per ``by`` the run with the largest metric (the smallest id among equals); runs without it do not count.
+    """Per ``by`` the run with the largest metric (the smallest id among equals); runs without it, or with NaN, do not count.
 
-    A max over (metric, id) pairs combines map-side, so one name with most of the runs stays cheap.
+    Value and id come out of the same struct. A min over structs combines map-side, so one name with most of the runs stays cheap.
     """
-    measured = runs.withColumn("_metric", F.col("metrics")[metric]).filter(F.col("_metric").isNotNull())
-    top = measured.groupBy(by).agg(F.max("_metric").alias("best"), F.min_by(run_id, F.struct(-F.col("_metric"), run_id)).alias(run_id))
-    return top.select(by, run_id, F.col("best").alias(metric))
+    value = F.col("metrics")[metric]
+    measured = runs.withColumn("_metric", value).filter(value.isNotNull() & ~F.isnan(value))
+    top = measured.groupBy(by).agg(F.min(F.struct((-F.col("_metric")).alias("_below"), F.col(run_id).alias("_id"))).alias("_best"))
+    return top.select(by, F.col("_best")["_id"].alias(run_id), (-F.col("_best")["_below"]).alias(metric))

@@ -22,14 +22,6 @@ def result_diff(actual: DataFrame, expected: DataFrame) -> DataFrame:
     )
 
 
-def bounded_sample(df: DataFrame, max_rows: int, seed: int = 42) -> DataFrame:
-    """At most ``max_rows`` rows: all of them if they fit, else a seeded sample. Stays distributed."""
-    rows = df.count()
-    if rows <= max_rows:
-        return df
-    return df.sample(fraction=max_rows / rows, seed=seed).limit(max_rows)
-
-
 def sample_head(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows in a stated order."""
     return df.orderBy(*order).limit(n)

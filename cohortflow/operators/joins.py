@@ -18,31 +18,26 @@ def join_dim(fact: DataFrame, dim: DataFrame, keys: Sequence[str], attributes: S
     return fact.join(dim.select(*keys, *attributes), list(keys), "left")
 
 
-def join_dim_salted(
-    fact: DataFrame, dim: DataFrame, keys: Sequence[str], attributes: Sequence[str], hot_share: float = 0.001, salts: int = 64
-) -> DataFrame:
+def join_dim_salted(fact: DataFrame, dim: DataFrame, keys: Sequence[str], attributes: Sequence[str], rows_per_task: int = 1_000_000) -> DataFrame:
     """The same left join with hot keys split by hand, for a ``dim`` that is itself an aggregate.
 
     AQE splits a hot key only between two plain shuffles; an aggregate on one side hides it. A key is hot
-    when it holds more than ``hot_share`` of the facts, so there are fewer than ``1 / hot_share`` of them and
-    they can be broadcast. Their facts spread over ``salts`` by the task that read them (stable under
-    retries), and only their dimension rows are repeated. Facts with a null key match nothing and spread too.
+    when it holds more facts than one task should have; there is at most one such key per ``rows_per_task`` facts, so they
+    can be broadcast, each with as many salts as it needs. Its facts spread over them by the task that read them (stable
+    under retries), and only its dimension row is repeated. Facts with a null key match nothing and spread over all tasks.
     """
     keys = list(keys)
-    counted = fact.groupBy(*keys).agg(F.count("*").alias("_n"))
-    share = F.col("_n") / counted.agg(F.sum("_n")).scalar()
-    hot = F.broadcast(cut_lineage(counted.filter(share > hot_share).select(*keys)).withColumn("_hot", F.lit(True)))
+    counted = fact.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_task)
+    hot = F.broadcast(cut_lineage(counted.select(*keys, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts"))))
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull()
-    salted_fact = fact.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
-    )
-    every_salt = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_dim = dim.select(*keys, *attributes).join(hot, keys, "left").select(
-        *keys, *attributes, F.explode(every_salt).alias("_salt")
-    )
-    return salted_fact.drop("_hot").join(salted_dim, [*keys, "_salt"], "left").drop("_salt")
+    task = F.spark_partition_id()
+    salt = F.when(no_key, task).when(F.col("_salts").isNotNull(), F.pmod(task, F.col("_salts"))).otherwise(0)
+    salted_fact = fact.join(hot, keys, "left").withColumn("_salt", salt).drop("_salts")
+    every_salt = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    salted_dim = dim.select(*keys, *attributes).join(hot, keys, "left").select(*keys, *attributes, F.explode(every_salt).alias("_salt"))
+    return salted_fact.join(salted_dim, [*keys, "_salt"], "left").drop("_salt")
 
 
 def pair_table(spark: SparkSession, pairs: Mapping[str, Sequence[str]], left: str, right: str) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Rows up to which a keyed side of a few narrow columns may be broadcast (some MB).
 BROADCAST_ROWS = 200_000
+#: Bytes of text up to which it may be.
+BROADCAST_BYTES = 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -54,8 +56,11 @@ def materialise_evenly(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """A bounded count: stops once it is clear that there are more rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """A bounded count of rows and of the bytes of their texts: stops once it is clear that there are more rows."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    size = F.sum(sum(texts, F.lit(0)).cast("bigint"))
+    found = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.coalesce(size, F.lit(0)).alias("bytes")).first()
+    return found["n"] <= max_rows and found["bytes"] <= BROADCAST_BYTES
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

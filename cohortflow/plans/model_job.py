@@ -73,7 +73,11 @@ class ModelJob:
         parent = runs.log_run(spark, self.runs_path, self.name, "search", {"trials": str(self.trials)}, tags=tags)
         for row in found:
             log("trial", drawn[row["trial"]], row["metrics"], parent)
-        best = max(found, key=lambda row: (row["metrics"]["validation_roc_auc"], -row["trial"]))
+        def rank(row) -> tuple:  # a trial without an AUC comes last
+            auc = row["metrics"].get("validation_roc_auc")
+            return (auc is not None and auc == auc, auc or 0.0, -row["trial"])
+
+        best = max(found, key=rank)
 
         final = train_gbt(rows, "label", features, drawn[best["trial"]])
         log("final", drawn[best["trial"]], evaluate_splits(final, rows, "label"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from cohortflow.clinical import gold
 from cohortflow.clinical.silver import ADVERSE_EVENTS, CLINICAL_TRIALS, PATIENTS, TRIAL_RESULTS, SilverTable, to_silver, typed_columns
@@ -145,13 +145,15 @@ def _expect_or_drop(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _warned(spark: SparkSession, d: str) -> DataFrame:
-    """Rows kept by the warn rules with the violations counted per table."""
-    parts = []
+    """Violations of the warn rules, counted while the kept rows are written."""
+    found = []
     for silver in (ADVERSE_EVENTS, TRIAL_RESULTS):
-        kept = to_silver(_bronze(spark, d, silver), silver)
-        warn_rules = [r for r in silver.rules if r.action == "warn"]
-        parts.append(quality.quality_report(kept, warn_rules).select(F.lit(silver.name).alias("table"), "rule", "passed", "failed"))
-    return parts[0].unionByName(parts[1])
+        counts = Observation()
+        kept = quality.expect_warn(to_silver(_bronze(spark, d, silver), silver), silver.rules, counts)
+        kept.write.format("noop").mode("overwrite").save()
+        seen = counts.get
+        found += [(silver.name, r.name, seen["rows"] - seen[r.name], seen[r.name]) for r in silver.rules if r.action == "warn"]
+    return spark.createDataFrame(found, "table string, rule string, passed long, failed long")
 
 
 def _probabilities(spark: SparkSession, d: str) -> DataFrame:

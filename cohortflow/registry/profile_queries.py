@@ -195,7 +195,6 @@ QUERIES = {
         lambda s, d: compare.sample_head(table(s, d, "orders"), ["o_orderdate", "o_orderkey"], 10),
         "SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 10",
     ),
-    "bounded_sample": (lambda s, d: compare.bounded_sample(table(s, d, "lineitem"), 50_000), None),
     "top_k_by_measure": (
         lambda s, d: report.top_k(
             report.group_report(table(s, d, "lineitem"), ["l_partkey"], total="n", means={"avg_quantity": ("l_quantity", 4)}), "avg_quantity", 10, ["l_partkey"]

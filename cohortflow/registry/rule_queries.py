@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortflow.clinical import source_rows
-from cohortflow.functions import draws, risk, scalars
+from cohortflow.functions import risk, scalars
 from cohortflow.operators import joins
 from cohortflow.registry.bindings import INTERACTIONS, table, view, with_views
 
@@ -60,15 +59,23 @@ def _labels(spark: SparkSession, d: str) -> DataFrame:
     return events.select(*KEYS, risk.serious_label(F.col("severity"), F.col("ae_type"), types).alias("serious"))
 
 
+def _share(purpose: str):
+    """[0, 1) per row: the first six hex digits of an MD5 that both engines compute."""
+    return F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(purpose), *KEYS)), 1, 6), 16, 10).cast("double") / (1 << 24)
+
+
+def _share_sql(purpose: str) -> str:
+    return f"CAST(('0x' || substr(md5('{purpose}-' || l_orderkey || '-' || l_partkey || '-' || l_linenumber), 1, 6)) AS BIGINT) / CAST(16777216 AS DOUBLE)"
+
+
 def _override(spark: SparkSession, d: str) -> DataFrame:
     """Severe events get one of six types anew with chance 0.6, decided per row."""
-    row = F.concat_ws("-", *KEYS)
     return view(spark, d, "b_events").select(
         *KEYS,
         "severity",
         risk.override_category(
-            F.col("ae_type"), F.col("severity") == "Severe", draws.uniform(row, "redraw"),
-            draws.choice(row, "type", risk.REDRAWN_SERIOUS_TYPES),
+            F.col("ae_type"), F.col("severity") == "Severe", _share("redraw"),
+            F.element_at(F.array(*[F.lit(t) for t in risk.REDRAWN_SERIOUS_TYPES]), (F.floor(_share("type") * len(risk.REDRAWN_SERIOUS_TYPES)) + 1).cast("int")),
         ).alias("ae_type"),
     )
 
@@ -136,9 +143,10 @@ SCALARS = {
     "array_distinct_default": (
         lambda s, d: table(s, d, "part").select(
             "p_partkey",
-            F.array_join(F.sort_array(scalars.distinct_or_default(F.slice(F.split(F.concat_ws(" ", "p_name", "p_name"), " "), 2, 1), "bolt")), ",").alias("kinds"),
+            F.array_join(F.sort_array(scalars.distinct_or_default(F.split(F.concat_ws(" ", "p_name", "p_name"), " "), "bolt")), ",").alias("kinds"),
         ),
-        "SELECT p_partkey, string_split(p_name, ' ')[2] AS kinds FROM part",
+        """SELECT p_partkey, CASE WHEN len(kept) = 0 THEN 'bolt' ELSE array_to_string(list_sort(kept), ',') END AS kinds
+FROM (SELECT p_partkey, list_distinct(list_filter(string_split(p_name || ' ' || p_name, ' '), lambda x: x <> 'bolt')) AS kept FROM part)""",
     ),
     "json_fields": (
         _json,
@@ -150,7 +158,7 @@ SCALARS = {
     ),
     "stable_id": (
         lambda s, d: table(s, d, "customer").select("c_custkey", scalars.stable_id(F.col("c_custkey"), F.col("c_name")).alias("id")),
-        "SELECT c_custkey, md5(CAST(c_custkey AS VARCHAR) || '|' || c_name) AS id FROM customer",
+        "SELECT c_custkey, md5(length(CAST(c_custkey AS VARCHAR)) || ':' || c_custkey || length(c_name) || ':' || c_name) AS id FROM customer",
     ),
 }
 
@@ -168,21 +176,17 @@ QUERIES = {
         _labels,
         with_views("SELECT l_orderkey, l_partkey, l_linenumber, severity = 'Severe' OR ae_type IN ('AE-5', 'AE-7', 'AE-8') AS serious FROM b_events"),
     ),
-    "override_category": (_override, None),
+    "override_category": (
+        _override,
+        with_views(
+            f"""SELECT l_orderkey, l_partkey, l_linenumber, severity, CASE WHEN severity = 'Severe' AND {_share_sql('redraw')} < 0.6
+  THEN [{', '.join(f"'{t}'" for t in risk.REDRAWN_SERIOUS_TYPES)}][CAST(floor({_share_sql('type')} * {len(risk.REDRAWN_SERIOUS_TYPES)}) AS INT) + 1]
+  ELSE ae_type END AS ae_type FROM b_events"""
+        ),
+    ),
     "lab_projection": (
         _labs,
         _risk_sql("round(greatest(CAST(5 AS DOUBLE), baseline_alt_iu_l - 20 + dosage_mg * CAST(0.02 AS DOUBLE)), 6) AS alt_iu_l"),
     ),
     **SCALARS,
-    # one seeded row per given key
-    "synth_patients": (lambda s, d: source_rows.synth_patients(table(s, d, "customer").withColumn("n", F.col("c_custkey") + 1), "n"), None),
-    "synth_trials": (lambda s, d: source_rows.synth_trials(table(s, d, "supplier").withColumn("n", F.col("s_suppkey") + 1), "n"), None),
-    "synth_results": (
-        lambda s, d: source_rows.synth_results(table(s, d, "orders").withColumn("n", F.col("o_orderkey") + 1), "n", patients=2000, trials=15),
-        None,
-    ),
-    "synth_adverse_events": (
-        lambda s, d: source_rows.synth_adverse_events(table(s, d, "events").withColumn("n", F.col("event_id") + 1), "n", patients=2000, trials=15),
-        None,
-    ),
 }

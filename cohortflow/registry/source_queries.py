@@ -14,12 +14,12 @@ from cohortflow.plans.lineage import scratch_path
 from cohortflow.registry.bindings import table, with_views
 from cohortflow.registry.gold_queries import SAFETY_SQL, raw_rows, raw_sql
 from cohortflow.sources import json_files, snapshots, tables
-from cohortflow.streaming.ingest import INGESTED_AT, ingest_json_stream
+from cohortflow.streaming.ingest import BAD_RECORD, INGESTED_AT, ingest_json_stream
 
 
 def _events_as_json(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
     events = table(spark, d, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    return json_files.write_json(events, scratch_path(spark, "json"), 3), events
+    return json_files.write_json(events, scratch_path(spark, "json")), events
 
 
 EVENTS_SQL = "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props FROM events"
@@ -45,6 +45,34 @@ def _schema(spark: SparkSession, d: str) -> DataFrame:
     return json_files.schema_as_rows(spark, json_files.infer_schema(spark, path, "*.json", multi_line=False))
 
 
+#: Every record of these numbers is broken on purpose, one kind with a cut line, the other with a text where a number belongs.
+BROKEN, MISTYPED = 97, 89
+
+
+def _bad_records(spark: SparkSession, d: str) -> DataFrame:
+    """Events as JSON lines of which some are broken: good rows, and the text of the bad ones, all kept."""
+    events = table(spark, d, "events").select("event_id", "user_id", "event_type")
+    line = F.to_json(F.struct("event_id", "user_id", "event_type"))
+    cut = F.concat(F.lit("{\"event_id\": "), F.col("event_id").cast("string"))
+    mistyped = F.to_json(F.struct("event_id", F.concat(F.lit("u"), F.col("user_id")).alias("user_id"), "event_type"))
+    lines = events.select(F.when(F.col("event_id") % BROKEN == 0, cut).when(F.col("event_id") % MISTYPED == 0, mistyped).otherwise(line))
+    path = scratch_path(spark, "lines")
+    lines.write.text(path)
+    bronze = ingest_json_stream(
+        spark, path, events.schema, scratch_path(spark, "bronze"), scratch_path(spark, "marks"), multi_line=False, keep_bad=True
+    )
+    bad = F.col(BAD_RECORD).isNotNull()
+    return bronze.select(
+        F.when(~bad, F.col("event_id")).alias("event_id"), F.when(~bad, F.col("user_id")).alias("user_id"), F.when(~bad, F.col("event_type")).alias("event_type"), F.col(BAD_RECORD).alias("bad_text")
+    )
+
+
+BAD_SQL = f"""SELECT CASE WHEN fine THEN event_id END AS event_id, CASE WHEN fine THEN user_id END AS user_id, CASE WHEN fine THEN event_type END AS event_type,
+  CASE WHEN event_id % {BROKEN} = 0 THEN '{{"event_id": ' || event_id
+       WHEN event_id % {MISTYPED} = 0 THEN '{{"event_id":' || event_id || ',"user_id":"u' || user_id || '","event_type":"' || event_type || '"}}' END AS bad_text
+FROM (SELECT *, event_id % {BROKEN} <> 0 AND event_id % {MISTYPED} <> 0 AS fine FROM events)"""
+
+
 def _write_raw(spark: SparkSession, d: str, entity: str) -> tuple[str, DataFrame]:
     rows = raw_rows(spark, d, f"raw_{entity}")
     return json_files.write_json(rows, scratch_path(spark, entity)), rows
@@ -85,8 +113,8 @@ def _run_layers(spark: SparkSession, d: str) -> str:
     return database
 
 
-def _layers(spark: SparkSession, d: str) -> DataFrame:
-    return spark.read.table(f"{_run_layers(spark, d)}.{gold.SAFETY.name}")
+def _layer(name: str):
+    return lambda spark, d: spark.read.table(f"{_run_layers(spark, d)}.{name}")
 
 
 LAYERS_SQL = with_views(
@@ -162,6 +190,7 @@ def _applied(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "json_roundtrip": (_round_trip, EVENTS_SQL),
     "ingest_json_stream": (_stream, EVENTS_SQL),
+    "ingest_bad_records": (_bad_records, BAD_SQL),
     "infer_schema": (
         _schema,
         """SELECT column_name AS "column", CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' ELSE 'string' END AS type
@@ -174,12 +203,11 @@ FROM (DESCRIBE events)""",
         )
         for t in SILVER_TABLES
     },
-    "medallion_gold_safety": (_layers, LAYERS_SQL),
+    "medallion_gold_safety": (_layer(gold.SAFETY.name), LAYERS_SQL),
     "materialize": (_materialized, "SELECT * FROM orders"),
     "layout_by_key": (_laid_out, "SELECT * FROM lineitem"),
     "snapshot_diff": (_changes, CHANGES_SQL),
     "apply_changes": (_applied, STATES_SQL + "SELECT * FROM new_orders"),
-    "list_files": (lambda s, d: json_files.list_files(s, d, "*.parquet"), None),
     "catalog_columns": (
         lambda s, d: tables.catalog_columns(s, _published(s, d)).drop("type"),
         """SELECT 'nation' AS "table", column_name AS "column" FROM (DESCRIBE nation)

@@ -1,8 +1,8 @@
-"""JSON files in batch: schema inference, writing, round trips, directory listings."""
+"""JSON files in batch: schema inference, writing, round trips."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 
 def infer_schema(
@@ -23,25 +23,11 @@ def schema_as_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema.fields], "column string, type string")
 
 
-def write_json(df: DataFrame, path: str, partitions: int | None = None) -> str:
-    """Replace ``path`` by JSON lines (splittable on the way back). Returns the path."""
-    out = df.repartition(partitions) if partitions else df
-    out.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def write_json(df: DataFrame, path: str) -> str:
+    """Replace ``path`` by JSON lines (splittable on the way back), one file per task of ``df``. Returns the path."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
     return path
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
-
-
-def list_files(spark: SparkSession, path: str, name_glob: str | None = None) -> DataFrame:
-    """path, length, modificationTime of the files below ``path``; contents are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    return reader.load(path).select("path", "length", "modificationTime")
-
-
-def json_column(df: DataFrame, name: str = "json") -> DataFrame:
-    """Every row as one JSON text."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias(name))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,17 +23,32 @@ def materialize(
 ) -> DataFrame:
     """Recompute ``table`` from ``df`` and return it as read back.
 
+    The new rows go to a table of their own first; only when they are complete do two renames put them in place, so a
+    job that fails leaves the old rows readable, and ``df`` may read the table it replaces.
+
     Statistics (row count from the file footers, column figures for the clustered columns only) let later
     plans size their joins from facts instead of guesses.
     """
     spark = df.sparkSession
     out = cluster_rows(df, cluster_by) if cluster_by else df
-    out.write.mode("overwrite").format("parquet").saveAsTable(table)
-    if comment:
-        spark.sql(f"COMMENT ON TABLE {table} IS {_quoted(comment)}")
-    if statistics:
-        columns = f" FOR COLUMNS {', '.join(cluster_by)}" if cluster_by else ""
-        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS{columns}")
+    tag = uuid.uuid4().hex[:12]
+    fresh, old = f"{table}__next_{tag}", f"{table}__old_{tag}"
+    try:
+        out.write.format("parquet").saveAsTable(fresh)
+        if comment:
+            spark.sql(f"COMMENT ON TABLE {fresh} IS {_quoted(comment)}")
+        if statistics:
+            columns = f" FOR COLUMNS {', '.join(cluster_by)}" if cluster_by else ""
+            spark.sql(f"ANALYZE TABLE {fresh} COMPUTE STATISTICS{columns}")
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    replaced = spark.catalog.tableExists(table)
+    if replaced:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    if replaced:
+        spark.sql(f"DROP TABLE {old}")
     return spark.read.table(table)
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 INGESTED_AT = "_ingestion_timestamp"
+#: The raw text of a record that does not parse or does not fit the schema; null for all others.
+BAD_RECORD = "_corrupt_record"
 
 
 def json_stream(
@@ -15,13 +17,18 @@ def json_stream(
     name_glob: str | None = None,
     multi_line: bool = True,
     max_files: int | None = None,
+    keep_bad: bool = False,
 ) -> DataFrame:
     """Unstarted stream over a folder, with the ingest time as an audit column.
 
+    With ``keep_bad`` a record that is broken or of other types keeps its text in a column of its own.
+
     A ``multi_line`` file (one JSON array) is read by one task as a whole; JSON lines
     (``multi_line=False``) split. ``max_files`` bounds a micro-batch.
     """
-    reader = spark.readStream.schema(schema).option("multiLine", multi_line)
+    if keep_bad:
+        schema = T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType())])
+    reader = spark.readStream.schema(schema).option("multiLine", multi_line).option("columnNameOfCorruptRecord", BAD_RECORD)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     if max_files:
@@ -56,8 +63,9 @@ def ingest_json_stream(
     name_glob: str | None = None,
     multi_line: bool = True,
     max_files: int | None = None,
+    keep_bad: bool = False,
 ) -> DataFrame:
     """Bring ``target_dir`` up to date with the source folder and return it. A rerun adds nothing."""
-    stream = json_stream(spark, source_dir, schema, name_glob, multi_line, max_files)
+    stream = json_stream(spark, source_dir, schema, name_glob, multi_line, max_files, keep_bad)
     append_to_path(stream, target_dir, checkpoint_dir).awaitTermination()
     return spark.read.parquet(target_dir)

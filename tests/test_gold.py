@@ -119,6 +119,6 @@ def test_salted_join_keeps_every_fact_and_splits_the_hot_key(spark, rows):
     fact = spark.range(0, 3000, 1, 6).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), "id")
     fact = fact.unionByName(spark.createDataFrame([(None, -1)], "k long, id long"))
     dim = fact.filter("k % 2 = 1").groupBy("k").agg(F.count("*").alias("n"))
-    salted = join_dim_salted(fact, dim, ["k"], ["n"], hot_share=0.1, salts=4)
+    salted = join_dim_salted(fact, dim, ["k"], ["n"], rows_per_task=50)
     assert rows(salted, "k", "id", "n") == rows(join_dim(fact, dim, ["k"], ["n"]), "k", "id", "n")
     assert salted.count() == 3001

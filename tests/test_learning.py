@@ -108,6 +108,8 @@ def test_best_run_takes_the_smallest_id_among_equals(spark, tmp_path, rows):
     assert rows(found) == [("search", best, 0.9)]
     tied = spark.createDataFrame([("n", "b", {"m": 1.0}), ("n", "a", {"m": 1.0})], "name string, run_id string, metrics map<string,double>")
     assert rows(runs.best_run_by_metric(tied, "m")) == [("n", "a", 1.0)]
+    odd = spark.createDataFrame([("r1", "n", {"m": 0.5}), ("r3", "n", {"m": 0.7}), ("r2", "n", {"m": float("nan")})], "run_id string, name string, metrics map<string,double>")
+    assert rows(runs.best_run_by_metric(odd, "m")) == [("n", "r3", 0.7)]
 
 
 def test_search_draws_are_seeded_and_in_range():

@@ -4,7 +4,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from cohortflow.operators.compare import bounded_sample, result_diff
+from cohortflow.operators.compare import result_diff
 from cohortflow.operators.leakage import leakage_screen
 from cohortflow.operators.profile import (
     columns_by_type, correlation_matrix, describe_numeric, exact_quantiles, histogram_by_class, null_profile,
@@ -68,9 +68,3 @@ def test_result_diff_counts_copies(spark, rows):
     b = spark.createDataFrame([(1,), (3,), (None,)], "x int")
     assert rows(result_diff(a, b)) == [(1, "actual only", 1), (2, "actual only", 1), (3, "expected only", 1)]
     assert result_diff(a, a).count() == 0
-
-
-def test_bounded_sample_keeps_small_frames_whole(spark):
-    frame = spark.range(100)
-    assert bounded_sample(frame, 100).count() == 100
-    assert bounded_sample(frame, 10).count() <= 10

@@ -1,8 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cohortflow.clinical import source_rows, vocabulary as v
-from cohortflow.functions import draws, risk, scalars
+from cohortflow.functions import risk, scalars
 
 
 def test_severity_edges_use_the_unrounded_score(spark):
@@ -48,43 +47,7 @@ def test_scalars(spark):
     assert row.asDict() == dict(bad=None, short="PAT-00007", long="PAT-1234567", no_height=None, day="2024-03-01", letter="C", hit=1, miss=None, half=1)
 
 
-def test_draws_do_not_depend_on_partitioning(spark, rows):
-    ids = spark.range(1, 500)
-    one = source_rows.synth_adverse_events(ids.coalesce(1), "id", 50, 15)
-    many = source_rows.synth_adverse_events(ids.repartition(7), "id", 50, 15)
-    assert rows(one) == rows(many)
-
-
-def test_seeded_rows_follow_the_rules(spark):
-    ids = spark.range(1, 4001)
-    patients = source_rows.synth_patients(ids, "id")
-    assert patients.select("patient_id").distinct().count() == 4000
-    shape = patients.agg(F.min("age"), F.max("age"), F.min("baseline_alt_iu_l"), F.max("num_pre_existing")).first()
-    assert shape[0] == 18 and shape[1] == 85 and shape[2] >= 5 and shape[3] <= 3
-    events = source_rows.synth_adverse_events(ids, "id", 2000, 15).cache()
-    assert events.filter("severity = 'Mild' AND outcome = 'Fatal'").count() == 0
-    wrong = events.filter(F.col("serious") != ((F.col("severity") == "Severe") | F.col("ae_type").isin(risk.ALWAYS_SERIOUS_TYPES)))
-    assert wrong.count() == 0
-    strength = events.select(F.corr("risk_score", F.col("serious").cast("double"))).first()[0]
-    assert 0.5 < strength < 0.8
-    rate = events.select(F.avg(F.col("serious").cast("int"))).first()[0]
-    assert 0.4 < rate < 0.6
-    # an event's patient attributes are those of the patient table
-    joined = events.join(patients, "patient_id", "left_anti")
-    assert joined.count() == 0
-    results = source_rows.synth_results(ids, "id", 2000, 15)
-    trials = source_rows.synth_trials(spark.range(1, 16), "id").select("trial_id", "indication", F.col("drug_name").alias("trial_drug"))
-    checked = results.join(trials, "trial_id")
-    assert checked.count() == 4000 and checked.filter("drug_name <> trial_drug").count() == 0
-    assert checked.filter(F.col("indication").contains("Cancer") != F.col("tumor_size_mm").isNotNull()).count() == 0
-
-
-def test_weighted_draw_matches_its_weights(spark):
-    u = draws.uniform(F.col("id"), "w")
-    counts = dict(spark.range(20000).groupBy(draws.weighted(u, v.OUTCOMES, v.OUTCOME_WEIGHTS["Mild"]).alias("o")).count().collect())
-    assert "Fatal" not in counts and abs(counts["Recovered"] / 20000 - 0.6) < 0.02
-
-
-def test_gaussian_moments(spark):
-    row = spark.range(20000).select(draws.gaussian(F.col("id"), "g", 10, 2).alias("g")).agg(F.avg("g"), F.stddev("g")).first()
-    assert abs(row[0] - 10) < 0.1 and abs(row[1] - 2) < 0.1
+def test_stable_ids_tell_parts_and_nulls_apart(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("x", None), (None, "x"), ("", None), (None, "")]
+    frame = spark.createDataFrame(rows, "a string, b string")
+    assert frame.select(scalars.stable_id(F.col("a"), F.col("b")).alias("i")).distinct().count() == len(rows)

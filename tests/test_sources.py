@@ -1,17 +1,20 @@
 import json
 
-from pyspark.sql import functions as F
+import pytest
+from pyspark.sql import functions as F, types as T
 
 from cohortflow.clinical import gold
 from cohortflow.clinical.silver import SILVER_TABLES
-from cohortflow.clinical.source_rows import synth_adverse_events, synth_patients, synth_results, synth_trials
 from cohortflow.config import JobConfig, session_user
 from cohortflow.plans import medallion
 from cohortflow.plans.layout import cluster_rows
+from cohortflow.registry.gold_queries import raw_rows
 from cohortflow.sources import tables
-from cohortflow.sources.json_files import infer_schema, list_files
+from cohortflow.sources.json_files import infer_schema
 from cohortflow.sources.snapshots import apply_changes, snapshot_diff
-from cohortflow.streaming.ingest import ingest_json_stream
+from cohortflow.streaming.ingest import BAD_RECORD, ingest_json_stream
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_ingest_reads_each_file_once_and_filters_by_name(spark, tmp_path):
@@ -33,13 +36,7 @@ def test_ingest_reads_each_file_once_and_filters_by_name(spark, tmp_path):
 def test_layers_from_shared_json_files_to_gold(spark, tmp_path, rows):
     src = tmp_path / "in"
     src.mkdir()
-    ids = lambda n: spark.range(1, n + 1)
-    frames = {
-        "patients": synth_patients(ids(60), "id"),
-        "clinical_trials": synth_trials(ids(15), "id"),
-        "trial_results": synth_results(ids(300), "id", 60, 15),
-        "adverse_events": synth_adverse_events(ids(200), "id", 60, 15),
-    }
+    frames = {t.entity: raw_rows(spark, SF, f"raw_{t.entity}") for t in SILVER_TABLES}
     for name, frame in frames.items():
         (src / f"{name}.json").write_text("[" + ",".join(frame.toJSON().collect()) + "]")
     tables.reset_database(spark, "layers", allow_drop=True)
@@ -49,21 +46,42 @@ def test_layers_from_shared_json_files_to_gold(spark, tmp_path, rows):
     medallion.refresh_silver(spark, "layers")
     medallion.refresh_gold(spark, "layers")
     assert tables.missing_tables(spark, "layers", medallion.TABLES).count() == 0
-    assert spark.read.table("layers.bronze_adverse_events").count() == 200
+    assert spark.read.table("layers.bronze_adverse_events").count() == frames["adverse_events"].count()
     report = {(r["table"], r["rule"]): r for r in medallion.silver_report(spark, "layers").collect()}
-    assert report["silver_adverse_events", "valid_onset_date"]["failed"] == 0 and len(report) == 10
+    assert len(report) == 10
     safety = spark.read.table("layers.gold_trial_safety_summary")
     sums = safety.agg(F.sum("total_adverse_events"), F.sum(F.col("severe_count") + F.col("moderate_count") + F.col("mild_count"))).first()
-    assert tuple(sums) == (200, 200)
+    assert sums[0] == sums[1] == spark.read.table("layers.silver_adverse_events").count()
     efficacy = spark.read.table("layers.gold_drug_efficacy")
     responses = sum((F.col(c) for c in gold.RESPONSE_COUNTS), F.lit(0))
     assert efficacy.filter(responses != F.col("total_observations")).count() == 0
     outcomes = spark.read.table("layers.gold_patient_outcomes")
-    assert outcomes.count() == frames["trial_results"].select("patient_id", "trial_id").distinct().count()
+    assert outcomes.count() == spark.read.table("layers.silver_trial_results").select("patient_id", "trial_id").distinct().count()
     assert {t["table"]: t["comment"] for t in tables.catalog_tables(spark, "layers").collect()}["silver_patients"] == SILVER_TABLES[2].comment
     tables.reset_database(spark, "layers", allow_drop=True)
 
 
+def test_failed_refresh_leaves_the_old_rows(spark):
+    tables.reset_database(spark, "publish", allow_drop=True)
+    tables.materialize(spark.range(5), "publish.t", ["id"], "Five rows")
+    broken = spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("no"))).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        tables.materialize(broken, "publish.t")
+    assert spark.read.table("publish.t").count() == 5
+    again = tables.materialize(spark.read.table("publish.t").filter("id > 1"), "publish.t")  # a table may replace itself
+    assert again.count() == 3 and [t.name for t in spark.catalog.listTables("publish")] == ["t"]
+    tables.reset_database(spark, "publish", allow_drop=True)
+
+
+def test_bad_records_keep_their_text(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.json").write_text('{"id": 1}\n{"id": \n{"id": "x"}\n')
+    found = ingest_json_stream(spark, str(src), T.StructType().add("id", "long"), str(tmp_path / "b"), str(tmp_path / "m"), multi_line=False, keep_bad=True)
+    assert sorted((r["id"] or 0, r[BAD_RECORD]) for r in found.collect() if r["id"]) == [(1, None)]
+    assert sorted(r[BAD_RECORD] for r in found.collect() if r[BAD_RECORD]) == ['{"id": ', '{"id": "x"}']
+
+
 def test_hot_key_is_spread_over_files(spark):
     hot = spark.range(0, 40000, 1, 8).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(7).alias("k"), "id")
     laid = cluster_rows(hot, ["k"], partitions=8).withColumn("part", F.spark_partition_id())
@@ -99,13 +117,12 @@ def test_comments_survive_parquet(spark, tmp_path, rows):
     described = tables.describe_columns(spark.range(1), {"id": "Row number"})
     described.write.parquet(str(tmp_path / "t"))
     assert rows(tables.column_comments(spark.read.parquet(str(tmp_path / "t")))) == [("id", "Row number")]
-    assert list_files(spark, str(tmp_path / "t"), "*.parquet").filter("length > 0").count() >= 1
 
 
 def test_config_from_session(spark):
-    spark.conf.set("cohortflow.max_rows", "10")
+    spark.conf.set("cohortflow.seed", "10")
     try:
         config = JobConfig.from_session(spark)
     finally:
-        spark.conf.unset("cohortflow.max_rows")
-    assert config.max_rows == 10 and config.table("x") == "default.x" and session_user(spark)
+        spark.conf.unset("cohortflow.seed")
+    assert config.seed == 10 and config.table("x") == "default.x" and session_user(spark)
