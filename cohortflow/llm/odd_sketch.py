@@ -21,8 +21,11 @@ from cohortflow.llm.components import components
 from cohortflow.llm.text import WordHashes, as_bytes, slices, stored
 from cohortflow.plans.lineage import broadcast_if_small
 
-SAMPLES, BANDS, SKETCH_BITS = 128, 32, 512
-ROWS = SAMPLES // BANDS
+#: Samples that fold into the sketch; the first BANDS * ROWS of them also make the bands.
+SAMPLES, SKETCH_BITS = 256, 1024
+BANDS, ROWS = 32, 4
+#: Rounds in which a bucket's members are compared with one of them, before what is left is compared block by block.
+ROUNDS = 4
 #: Members of a bucket that one comparison step holds on each side.
 BLOCK = 128
 _RNG = np.random.default_rng(20240229)
@@ -67,7 +70,7 @@ def minhash(found: np.ndarray) -> np.ndarray:
 
 def bands_of(samples: np.ndarray) -> np.ndarray:
     """A 64-bit key per row and band."""
-    grouped = samples.astype(np.uint64).reshape(-1, BANDS, ROWS)
+    grouped = samples[:, : BANDS * ROWS].astype(np.uint64).reshape(-1, BANDS, ROWS)
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), grouped.shape[:2])
     for k in range(ROWS):
         key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + grouped[:, :, k])
@@ -189,8 +192,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
     Links join texts whose sets share at least ``percent`` of their union. component_id is the smallest id reachable. Null and
     empty texts link with nothing and are kept. Rows of one id are one document; a row without an id follows its class but names none.
 
-    A bucket first compares its members with its smallest one. What that leaves in different components is compared block by
-    block, without regard to bucket size: nothing is capped, and a group of copies costs one comparison per member.
+    A bucket first compares its members with its smallest one, then, in further rounds, with others drawn by a hash as long
+    as it has members in different components. What then still lies apart is compared block by block, without regard to bucket
+    size. Nothing is capped; a group of copies takes a few comparisons per member.
     """
     limit = most_bits(percent / 100)
     found = stored(signatures(docs, width, text, doc_id), "signatures")
@@ -203,27 +207,40 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
     )
     named = classes.filter(F.col("doc_id").isNotNull())
     members = named.select("doc_id", F.explode("bands").alias("band"))
-    crowded = members.groupBy("band").agg(F.min("doc_id").alias("pivot"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    buckets = stored(members.join(crowded, "band"), "buckets")
-
+    crowded = members.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    placed = stored(members.join(crowded, "band").withColumn("component", F.col("doc_id")), "buckets")
     sketch = named.select("doc_id", "n_shingles", "sketch")
-    stars = buckets.filter("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
     side = lambda c: sketch.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
     bits = sum((F.bit_count(F.get("s_a", F.lit(w)).bitwiseXOR(F.get("s_b", F.lit(w)))) for w in range(SKETCH_BITS // 64)), F.lit(0))
     sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    likely = stored(stars.join(side("b"), "b").join(side("a"), "a").filter(sizes & (bits <= limit)).select("a", "b"), "stars")
-    links = _confirmed(docs, likely, width, percent, text, doc_id)
-    labels = components(links)
-
-    placed = buckets.join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    placed = stored(placed, "placed")
-    open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band")
-    rest = placed.join(open_, "band", "left_semi").join(sketch, "doc_id").select("band", "doc_id", "component", "n_shingles", "sketch", "members")
-    more = stored(_blocked(rest, limit, percent).join(likely, ["a", "b"], "left_anti"), "pairs")
-    if more.limit(1).count():
-        extra = _confirmed(docs, more, width, percent, text, doc_id)
-        if extra.limit(1).count():
-            labels = components(links.unionByName(extra))
+    tested = links = None
+    labels = docs.sparkSession.createDataFrame([], "node long, component long")
+
+    for turn in range(ROUNDS + 1):
+        if turn < ROUNDS:
+            order = F.col("doc_id") if turn == 0 else F.xxhash64(F.lit(turn), "band", "doc_id")
+            pivot = F.min_by(F.struct("doc_id", "component"), order).alias("pivot")
+            open_ = placed.groupBy("band").agg(pivot, F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+            open_ = stored(open_.select("band", "pivot"), "pivots")
+            if not open_.limit(1).count():
+                break
+            apart = placed.join(open_, "band").filter("component <> pivot.component")
+            pairs = apart.select(F.least("doc_id", "pivot.doc_id").alias("a"), F.greatest("doc_id", "pivot.doc_id").alias("b")).distinct()
+            likely = pairs.join(side("b"), "b").join(side("a"), "a").filter(sizes & (bits <= limit)).select("a", "b")
+        else:
+            open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band")
+            rest = placed.join(open_, "band", "left_semi").join(sketch, "doc_id").select("band", "doc_id", "component", "n_shingles", "sketch", "members")
+            likely = _blocked(rest, limit, percent)
+        likely = stored(likely if tested is None else likely.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = likely if tested is None else tested.unionByName(likely)
+        found_links = _confirmed(docs, likely, width, percent, text, doc_id)
+        if links is not None and not found_links.limit(1).count():
+            continue
+        links = found_links if links is None else links.unionByName(found_links)
+        labels = components(links)
+        known = labels.select(F.col("node").alias("doc_id"), F.col("component").alias("_component"))
+        if turn < ROUNDS:
+            placed = stored(placed.join(known, "doc_id", "left").withColumn("component", F.coalesce("_component", "doc_id")).drop("_component"), "buckets")
     reached = classes.join(labels.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
     reached = reached.select("digest", F.coalesce("component", "doc_id").alias("_component"))
     rows = found.select("doc_id", "n_shingles", "digest").join(reached, "digest", "left")
