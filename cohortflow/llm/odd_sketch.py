@@ -123,18 +123,31 @@ def signatures(docs: DataFrame, width: int, text: str = "text", doc_id: str = "d
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int, text: str, doc_id: str) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. Only texts that occur in a pair are read into sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share at least ``percent`` of their union."""
+    both = np.sort(np.concatenate((x, y)))
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
+def _sets(docs: DataFrame, ids: DataFrame, width: int, text: str, doc_id: str) -> DataFrame:
+    """doc_id, found: the full shingle sets of the documents that ``ids`` names, one row each."""
     needed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(broadcast_if_small(ids), "doc_id", "left_semi")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in slices(batches, "text"):
             found = [shingles(t, width, hashes).tobytes() for t in as_bytes(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "found"])
 
-    known = stored(needed.mapInArrow(sets, docs.select(F.col(doc_id).alias("doc_id")).schema.add("found", T.BinaryType())), "sets").dropDuplicates(["doc_id"])
+    schema = docs.select(F.col(doc_id).alias("doc_id")).schema.add("found", T.BinaryType())
+    return stored(needed.mapInArrow(run, schema), "sets").dropDuplicates(["doc_id"])
+
+
+def _confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int, text: str, doc_id: str) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough. Only texts that occur in a pair are read into sets."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    known = _sets(docs, ids, width, text, doc_id)
     left, right = known.select(F.col("doc_id").alias("a"), F.col("found").alias("of_a")), known.select(F.col("doc_id").alias("b"), F.col("found").alias("of_b"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,48 +155,70 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int, text
             for batch in slices(iter([whole]), "of_a"):
                 ok = []
                 for one, two in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist(), strict=True):
-                    x, y = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
-                    both = np.sort(np.concatenate((x, y)))
-                    shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                    ok.append(100 * shared >= percent * (len(x) + len(y) - shared))
+                    ok.append(_similar(np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64), percent))
                 yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     return stored(pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(judge, pairs.select("a", "b").schema), "links")
 
 
+class _Union:
+    """Components known inside one comparison step."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            x = y
+        return x
+
+
 def _blocked(buckets: DataFrame, limit: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of one bucket that lie in different components and whose sketches may be similar.
+    """Links (a, b) between members of one bucket that lie in different components; within a step, links that join nothing new are left out.
 
-    ``buckets``: band, doc_id, component, n_shingles, sketch, and ``members`` of the bucket. A bucket is dealt into blocks by a hash of
-    the id; each step compares two blocks in memory, so a bucket of any size becomes many bounded steps and only what passes is emitted.
+    ``buckets``: band, doc_id, component, n_shingles, sketch, bands, found (the full set) and ``members`` of the bucket. A bucket is dealt
+    into blocks by a hash of the id, and each step compares two blocks in memory: sketches first, then full sets. So a bucket
+    of any size becomes many bounded steps, and only links are emitted. A pair that meets in several bands is compared in its first one.
     """
     blocks = buckets.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("members") / BLOCK)))
-    member = F.struct("doc_id", "component", "n_shingles", "sketch")
-    blocks = blocks.groupBy("band", "block").agg(F.collect_list(member).alias("rows"))
-    other = blocks.select("band", F.col("block").alias("block_b"), F.col("rows").alias("rows_b"))
-    steps = blocks.join(other, "band").filter("block <= block_b").repartition("band", "block", "block_b")
-    steps = steps.select("rows", "rows_b", (F.col("block") == F.col("block_b")).alias("same"))
+    member = F.struct("doc_id", "component", "n_shingles", "sketch", "bands", "found")
+    blocks = blocks.groupBy("band", "block").agg(F.collect_list(member).alias("rows"), F.max("members").alias("members"))
+    whole = blocks.filter(F.col("members") <= BLOCK).select("band", "rows", F.lit(None).cast(blocks.schema["rows"].dataType).alias("rows_b"))
+    large = blocks.filter(F.col("members") > BLOCK)
+    other = large.select("band", F.col("block").alias("block_b"), F.col("rows").alias("rows_b"))
+    steps = large.join(other, "band").filter("block <= block_b").repartition("band", "block", "block_b")
+    steps = steps.select("band", "rows", F.when(F.col("block") != F.col("block_b"), F.col("rows_b")).alias("rows_b"))
+
+    def side(rows) -> tuple:
+        wide = lambda c: rows.field(c).flatten().to_numpy().view(np.uint64).reshape(len(rows), -1)
+        return (*(rows.field(c).to_numpy() for c in ("doc_id", "component", "n_shingles")), wide("sketch"), wide("bands"), rows.field("found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for at in range(batch.num_rows):
-                sides = []
-                for name in ("rows", "rows_b"):
-                    rows = batch.column(name)[at].values
-                    sides.append([rows.field(c).to_numpy() for c in ("doc_id", "component", "n_shingles")] + [rows.field("sketch").flatten().to_numpy().view(np.uint64).reshape(len(rows), -1)])
-                (ids, comp, n, sk), (ids2, comp2, n2, sk2) = sides
+            for at, band in enumerate(batch.column("band").to_pylist()):
+                ids, comp, n, sk, keys, found = side(batch.column("rows")[at].values)
+                second = batch.column("rows_b")[at].values
+                ids2, comp2, n2, sk2, keys2, found2 = (ids, comp, n, sk, keys, found) if second is None else side(second)
                 bits = np.zeros((len(ids), len(ids2)), np.uint16)
                 for w in range(sk.shape[1]):
                     bits += np.bitwise_count(sk[:, None, w] ^ sk2[None, :, w])
                 ok = (bits <= limit) & (comp[:, None] != comp2) & (100 * np.minimum(n[:, None], n2) >= percent * np.maximum(n[:, None], n2))
-                ok &= (ids[:, None] < ids2) if batch.column("same")[at].as_py() else (ids[:, None] != ids2)
-                x, y = np.nonzero(ok)
-                out.append(np.stack([np.minimum(ids[x], ids2[y]), np.maximum(ids[x], ids2[y])]))
-            both = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
-
-    return steps.mapInArrow(run, "a long, b long").distinct()
+                ok &= (ids[:, None] < ids2) if second is None else (ids[:, None] != ids2)
+                known, sets = _Union(), {}
+                for x, y in zip(*(v.tolist() for v in np.nonzero(ok)), strict=True):
+                    one, two = known.root(int(comp[x])), known.root(int(comp2[y]))
+                    if one == two or keys[x][np.argmax(keys[x] == keys2[y])] != np.int64(band).view(np.uint64):
+                        continue
+                    for k, ids_of, where in (((0, x), found, x), ((1, y), found2, y)):
+                        if k not in sets:
+                            sets[k] = np.frombuffer(ids_of[where].as_py(), np.uint64)
+                    if _similar(sets[0, x], sets[1, y], percent):
+                        known.up[max(one, two)] = min(one, two)
+                        out.append((int(min(ids[x], ids2[y])), int(max(ids[x], ids2[y]))))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return whole.unionByName(steps).mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -227,13 +262,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
             apart = placed.join(open_, "band").filter("component <> pivot.component")
             pairs = apart.select(F.least("doc_id", "pivot.doc_id").alias("a"), F.greatest("doc_id", "pivot.doc_id").alias("b")).distinct()
             likely = pairs.join(side("b"), "b").join(side("a"), "a").filter(sizes & (bits <= limit)).select("a", "b")
+            likely = stored(likely if tested is None else likely.join(tested, ["a", "b"], "left_anti"), "pairs")
+            tested = likely if tested is None else tested.unionByName(likely)
+            found_links = _confirmed(docs, likely, width, percent, text, doc_id)
         else:
             open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band")
-            rest = placed.join(open_, "band", "left_semi").join(sketch, "doc_id").select("band", "doc_id", "component", "n_shingles", "sketch", "members")
-            likely = _blocked(rest, limit, percent)
-        likely = stored(likely if tested is None else likely.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = likely if tested is None else tested.unionByName(likely)
-        found_links = _confirmed(docs, likely, width, percent, text, doc_id)
+            rest = stored(placed.join(open_, "band", "left_semi"), "rest")
+            full = _sets(docs, rest.select("doc_id").distinct(), width, text, doc_id)
+            wide = rest.join(named.select("doc_id", "n_shingles", "sketch", "bands").join(full, "doc_id"), "doc_id")
+            found_links = stored(_blocked(wide, limit, percent), "links")
         if links is not None and not found_links.limit(1).count():
             continue
         links = found_links if links is None else links.unionByName(found_links)
