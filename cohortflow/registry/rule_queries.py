@@ -179,7 +179,7 @@ QUERIES = {
     "override_category": (
         _override,
         with_views(
-            f"""SELECT l_orderkey, l_partkey, l_linenumber, severity, CASE WHEN severity = 'Severe' AND {_share_sql('redraw')} < 0.6
+            f"""SELECT l_orderkey, l_partkey, l_linenumber, severity, CASE WHEN severity = 'Severe' AND {_share_sql('redraw')} > {risk.REDRAW_ABOVE}
   THEN [{', '.join(f"'{t}'" for t in risk.REDRAWN_SERIOUS_TYPES)}][CAST(floor({_share_sql('type')} * {len(risk.REDRAWN_SERIOUS_TYPES)}) AS INT) + 1]
   ELSE ae_type END AS ae_type FROM b_events"""
         ),
