@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from cohortflow.llm.text import as_bytes, fold, slices
 
 #: Most labelled rows of each class that a fit reads: the one bounded sample.
-FIT_ROWS = 1_500
+FIT_ROWS = 1_200
 CUT = 0.3
 WINDOW, STRIDE = 24, 16
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 8
@@ -98,11 +98,26 @@ class Network:
         return cls(vocabulary, words, 0.05 * rng.normal(size=(BUCKETS, CHAR_DIM)).astype(np.float32), dense)
 
     def inputs(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Input vector per word; its row, its n-grams and their number, for the gradients."""
-        rows = np.fromiter((self.vocabulary.get(w, len(self.vocabulary)) for w in words), np.int64, len(words))
-        grams, sizes = char_grams(words)
-        total = np.add.reduceat(self.chars[grams], np.cumsum(sizes) - sizes) if len(words) else np.zeros((0, CHAR_DIM), np.float32)
-        return np.concatenate([self.words[rows], total / np.sqrt(sizes)[:, None].astype(np.float32)], axis=1), rows, grams, sizes
+        """Input vector per word; its row, its n-grams and their number, for the gradients. A bounded number of words at a time."""
+        rows = np.fromiter((self.vocabulary.get(w, len(self.vocabulary)) for w in words), np.int32, len(words))
+        grams, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), 10_000):
+            g, n = char_grams(words[at : at + 10_000])
+            grams.append(g.astype(np.int32))
+            sizes.append(n)
+        grams, sizes = np.concatenate(grams), np.concatenate(sizes)
+        return self.vectors(rows, grams, sizes), rows, grams, sizes
+
+    def vectors(self, rows: np.ndarray, grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        out = np.empty((len(rows), WORD_DIM + CHAR_DIM), np.float32)
+        ends = np.cumsum(sizes)
+        for at in range(0, len(rows), 10_000):
+            here = slice(at, at + 10_000)
+            first = ends[at] - sizes[at]
+            starts = ends[here] - sizes[here] - first
+            out[here, WORD_DIM:] = np.add.reduceat(self.chars[grams[first : ends[here][-1]]], starts) / np.sqrt(sizes[here])[:, None]
+        out[:, :WORD_DIM] = self.words[rows]
+        return out
 
     def projected(self, x: np.ndarray) -> dict[str, np.ndarray]:
         """Each direction's input part of the gates; the last row is that of "no word"."""
@@ -197,9 +212,10 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, seed: int =
         net.shift = -10.0 if len(labels) and labels[0] == 1 else 10.0
         return net
     place: dict[bytes, int] = {}
-    coded = [np.array([place.setdefault(w, len(place)) for w in t], np.int64) for t in tokens]
+    coded = [np.array([place.setdefault(w, len(place)) for w in t], np.int32) for t in tokens]
     known = list(place)
-    x, rows, grams, sizes = net.inputs(known)
+    _, rows, grams, sizes = net.inputs(known)
+    del tokens, texts, counted
     first_gram = np.cumsum(sizes) - sizes
     # first guess: how much more often a word and an n-gram stand in texts labelled 1
     use = {y: np.bincount(np.concatenate([c for c, l in zip(coded, labels, strict=True) if l == y] or [np.zeros(0, np.int64)]), minlength=len(known)).astype(float) for y in (0, 1)}
@@ -213,14 +229,14 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, seed: int =
     by_gram = odds(*(np.bincount(grams, np.repeat(use[y], sizes), minlength=BUCKETS) for y in (1, 0)))
     net.words[rows[rows < len(common)], 0] = by_word[rows < len(common)] / 2
     net.chars[:, 0] = by_gram / 4
-    guess = np.maximum(by_word, np.add.reduceat(by_gram[grams], first_gram) / np.sqrt(sizes))
+    guess = np.maximum(by_word, np.add.reduceat(by_gram[grams], first_gram) / np.sqrt(sizes)).astype(np.float32)
 
-    parts = rng.random(len(texts)) < 0.8
+    parts = rng.random(len(coded)) < 0.8
     all_windows = [windows(c) for c in coded]
     counts = np.array([len(w) for w in all_windows])
     ids = np.concatenate(all_windows)
     label = np.asarray(labels, np.float32)
-    score = np.where(ids >= 0, guess[ids], -9).max(axis=1)
+    score = np.where(ids >= 0, guess[ids], np.float32(-9)).max(axis=1)
     mine = np.flatnonzero(parts)
     first = np.cumsum(counts) - counts
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.dense.items()}
@@ -264,9 +280,8 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, seed: int =
                 np.add.at(squares[table], at_rows, (d * d).mean(axis=1))
                 np.add.at(getattr(net, table), at_rows, -0.03 * d / np.sqrt(squares[table][at_rows])[:, None])
             net.words[-1] = 0
-        x = net.inputs(known)[0]
-        table = net.projected(x)
-        score = np.concatenate([net.forward(table, ids[at : at + 4096])[0] for at in range(0, len(ids), 4096)])
+        table = net.projected(net.vectors(rows, grams, sizes))
+        score = np.concatenate([net.forward(table, ids[at : at + 2048])[0] for at in range(0, len(ids), 2048)])
     apart = np.flatnonzero(~parts) if len({*label[~parts].tolist()}) == 2 else np.arange(len(label))
     worst = np.maximum.reduceat(score, first)
     net.shift, net.slope = _cut(worst[apart], label[apart]), 1.0
@@ -322,7 +337,7 @@ def toxicity_scores(
                 place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
                 added = model.projected(model.inputs(new)[0])
                 table = {s: np.concatenate([table[s][:-1], added[s]]) for s in "fb"}
-            coded = [np.fromiter(map(place.__getitem__, t), np.int64, len(t)) for t in tokens]
+            coded = [np.fromiter(map(place.__getitem__, t), np.int32, len(t)) for t in tokens]
             all_windows = [windows(c) for c in coded]
             counts, ids = np.array([len(w) for w in all_windows]), np.concatenate(all_windows)
             logits = np.empty(len(ids), np.float32)
