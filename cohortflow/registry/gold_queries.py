@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from cohortflow.clinical import gold
-from cohortflow.clinical.silver import ADVERSE_EVENTS, CLINICAL_TRIALS, PATIENTS, TRIAL_RESULTS, SilverTable, to_silver, typed_columns
+from cohortflow.clinical.silver import ADVERSE_EVENTS, CLINICAL_TRIALS, PATIENTS, SILVER_TABLES, TRIAL_RESULTS, SilverTable, to_silver, typed_columns
 from cohortflow.operators import joins, quality, report
 from cohortflow.operators.latest import latest_per_group
 from cohortflow.registry.bindings import LATEST, rounded_sql, table, view, with_views
@@ -164,26 +166,24 @@ def _probabilities(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _quality(spark: SparkSession, d: str) -> DataFrame:
-    return quality.quality_report(typed_columns(_bronze(spark, d, PATIENTS), PATIENTS), PATIENTS.rules).unionByName(
-        quality.quality_report(typed_columns(_bronze(spark, d, ADVERSE_EVENTS), ADVERSE_EVENTS), ADVERSE_EVENTS.rules)
-    )
+    """All rules of all four tables."""
+    parts = [
+        quality.quality_report(typed_columns(_bronze(spark, d, t), t), t.rules).select(F.lit(t.name).alias("table"), "*") for t in SILVER_TABLES
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _rule_sql(source: str, rule: str, action: str, predicate: str) -> str:
-    failed = f"count(*) FILTER (WHERE NOT coalesce({predicate}, false))"
-    dropped = failed if action == "drop" else "CAST(0 AS BIGINT)"
-    return f"SELECT '{rule}' AS rule, '{action}' AS action, count(*) - {failed} AS passed, {failed} AS failed, {dropped} AS dropped FROM {source}"
+def _rule_sql(silver: SilverTable, rule: quality.Expectation) -> str:
+    typed = f" REPLACE ({', '.join(f'TRY_CAST({c} AS date) AS {c}' for c in silver.dates)})" if silver.dates else ""
+    failed = f"count(*) FILTER (WHERE NOT coalesce({rule.predicate}, false))"
+    dropped = failed if rule.action == "drop" else "CAST(0 AS BIGINT)"
+    return (
+        f"""SELECT '{silver.name}' AS "table", '{rule.name}' AS rule, '{rule.action}' AS action, count(*) - {failed} AS passed, {failed} AS failed,
+  {dropped} AS dropped FROM (SELECT *{typed} FROM raw_{silver.entity})"""
+    )
 
 
-QUALITY_SQL = " UNION ALL ".join(
-    [
-        _rule_sql("raw_patients", "valid_patient_id", "drop", "patient_id IS NOT NULL"),
-        _rule_sql("raw_patients", "valid_age", "warn", "age > 0 AND age < 120"),
-        _rule_sql("raw_adverse_events", "valid_event_id", "drop", "event_id IS NOT NULL"),
-        _rule_sql("raw_adverse_events", "valid_patient_id", "drop", "patient_id IS NOT NULL"),
-        _rule_sql("raw_adverse_events", "valid_onset_date", "warn", "TRY_CAST(onset_date AS date) IS NOT NULL"),
-    ]
-)
+QUALITY_SQL = " UNION ALL ".join(_rule_sql(t, r) for t in SILVER_TABLES for r in t.rules)
 WARN_SQL = """
 SELECT 'silver_adverse_events' AS "table", 'valid_onset_date' AS rule,
   count(*) FILTER (WHERE onset_date <> 'bad') AS passed, count(*) FILTER (WHERE onset_date = 'bad') AS failed
@@ -245,7 +245,7 @@ QUERIES = {
     ),
     "quality_report": (
         _quality,
-        with_views(QUALITY_SQL, raw_patients=raw_sql("raw_patients"), raw_adverse_events=raw_sql("raw_adverse_events")),
+        with_views(QUALITY_SQL, **{f"raw_{t.entity}": raw_sql(f"raw_{t.entity}") for t in SILVER_TABLES}),
     ),
     "assert_probability": (
         _probabilities,

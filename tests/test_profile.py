@@ -68,3 +68,20 @@ def test_result_diff_counts_copies(spark, rows):
     b = spark.createDataFrame([(1,), (3,), (None,)], "x int")
     assert rows(result_diff(a, b)) == [(1, "actual only", 1), (2, "actual only", 1), (3, "expected only", 1)]
     assert result_diff(a, a).count() == 0
+
+
+def test_running_totals_equal_a_window_without_its_shuffle(spark, rows):
+    from pyspark.sql import Window
+
+    from cohortflow.plans.ordered import running_totals
+
+    frame = spark.range(0, 4000, 1, 7).select((F.col("id") % 5).cast("string").alias("g"), "id", (F.col("id") % 11).alias("n"), (F.col("id") / 8).alias("x"))
+    found = running_totals(frame, ["id"], ["n", "x"], by=["g"])
+    assert "hashpartitioning(_part" not in found._jdf.queryExecution().toString()
+    inside, whole = Window.partitionBy("g").orderBy("id"), Window.partitionBy("g")
+    for c in ("n", "x"):
+        frame = frame.withColumn(f"{c}_upto", F.sum(c).over(inside)).withColumn(f"{c}_total", F.sum(c).over(whole))
+    columns = ["g", "id", "n_upto", "n_total", "x_upto", "x_total"]
+    assert rows(found, *columns) == rows(frame, *columns)
+    assert dict(found.dtypes)["n_upto"] == "bigint"
+    assert running_totals(frame.limit(0).select("id", "n"), ["id"], ["n"]).count() == 0
