@@ -11,7 +11,7 @@ from cohortflow.plans.lineage import scratch_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier predicts to be good; it learns from all labelled documents of its input."""
+    """Documents that the classifier predicts to be good; it learns from the labelled documents of its input that are not held out."""
     return pair_rank.keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
