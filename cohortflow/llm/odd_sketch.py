@@ -25,9 +25,11 @@ from cohortflow.plans.lineage import broadcast_if_small
 SAMPLES, SKETCH_BITS = 256, 1024
 BANDS, ROWS = 32, 4
 #: Rounds in which a bucket's members are compared with one of them, before what is left is compared block by block.
-ROUNDS = 4
-#: Members of a bucket that one comparison step holds on each side.
-BLOCK = 128
+ROUNDS = 2
+#: Members of a bucket, and shingles of theirs, that one comparison step holds on each side.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
+#: Members up to which a bucket's likely pairs are listed (at most so many per member); larger buckets confirm inside their blocks.
+LISTED = 32
 _RNG = np.random.default_rng(20240229)
 _FLIP = _RNG.integers(0, 1 << 32, SAMPLES, np.uint32)
 _STRETCH = _RNG.integers(0, 1 << 32, SAMPLES, np.uint32) | np.uint32(1)
@@ -173,25 +175,28 @@ class _Union:
         return x
 
 
-def _blocked(buckets: DataFrame, limit: int, percent: int) -> DataFrame:
+def _blocked(buckets: DataFrame, limit: int, percent: int, confirm: bool) -> DataFrame:
     """Links (a, b) between members of one bucket that lie in different components; within a step, links that join nothing new are left out.
 
-    ``buckets``: band, doc_id, component, n_shingles, sketch, bands, found (the full set) and ``members`` of the bucket. A bucket is dealt
-    into blocks by a hash of the id, and each step compares two blocks in memory: sketches first, then full sets. So a bucket
+    ``buckets``: band, doc_id, component, n_shingles, sketch, bands and found (the full set). A large bucket is dealt
+    into blocks by a hash of the id, and each step compares two blocks in memory: sketches first, then full sets. Without ``confirm`` all pairs with close sketches are given, for later confirmation, and no sets are needed. So a bucket
     of any size becomes many bounded steps, and only links are emitted. A pair that meets in several bands is compared in its first one.
     """
-    blocks = buckets.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("members") / BLOCK)))
-    member = F.struct("doc_id", "component", "n_shingles", "sketch", "bands", "found")
-    blocks = blocks.groupBy("band", "block").agg(F.collect_list(member).alias("rows"), F.max("members").alias("members"))
-    whole = blocks.filter(F.col("members") <= BLOCK).select("band", "rows", F.lit(None).cast(blocks.schema["rows"].dataType).alias("rows_b"))
-    large = blocks.filter(F.col("members") > BLOCK)
+    sizes = buckets.groupBy("band").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("parts")
+    )
+    member = F.struct("doc_id", "component", "n_shingles", "sketch", "bands", *(["found"] if confirm else []))
+    blocks = buckets.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("doc_id"), "parts"))
+    blocks = blocks.groupBy("band", "block").agg(F.collect_list(member).alias("rows"), F.max("parts").alias("parts"))
+    empty = F.lit(None).cast(blocks.schema["rows"].dataType)
+    whole = blocks.select("band", "rows", empty.alias("rows_b"))
+    large = blocks.filter("parts > 1")
     other = large.select("band", F.col("block").alias("block_b"), F.col("rows").alias("rows_b"))
-    steps = large.join(other, "band").filter("block <= block_b").repartition("band", "block", "block_b")
-    steps = steps.select("band", "rows", F.when(F.col("block") != F.col("block_b"), F.col("rows_b")).alias("rows_b"))
+    across = large.join(other, "band").filter("block < block_b").repartition("band", "block", "block_b").select("band", "rows", "rows_b")
 
     def side(rows) -> tuple:
         wide = lambda c: rows.field(c).flatten().to_numpy().view(np.uint64).reshape(len(rows), -1)
-        return (*(rows.field(c).to_numpy() for c in ("doc_id", "component", "n_shingles")), wide("sketch"), wide("bands"), rows.field("found"))
+        return (*(rows.field(c).to_numpy() for c in ("doc_id", "component", "n_shingles")), wide("sketch"), wide("bands"), rows.field("found") if confirm else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,10 +210,16 @@ def _blocked(buckets: DataFrame, limit: int, percent: int) -> DataFrame:
                     bits += np.bitwise_count(sk[:, None, w] ^ sk2[None, :, w])
                 ok = (bits <= limit) & (comp[:, None] != comp2) & (100 * np.minimum(n[:, None], n2) >= percent * np.maximum(n[:, None], n2))
                 ok &= (ids[:, None] < ids2) if second is None else (ids[:, None] != ids2)
+                for k in range(int(np.argmax(keys[0] == np.int64(band).view(np.uint64)))):
+                    ok &= keys[:, None, k] != keys2[None, :, k]  # else an earlier band has compared the pair
+                if not confirm:
+                    x, y = np.nonzero(ok)
+                    out += zip(np.minimum(ids[x], ids2[y]).tolist(), np.maximum(ids[x], ids2[y]).tolist(), strict=True)
+                    continue
                 known, sets = _Union(), {}
                 for x, y in zip(*(v.tolist() for v in np.nonzero(ok)), strict=True):
                     one, two = known.root(int(comp[x])), known.root(int(comp2[y]))
-                    if one == two or keys[x][np.argmax(keys[x] == keys2[y])] != np.int64(band).view(np.uint64):
+                    if one == two:
                         continue
                     for k, ids_of, where in (((0, x), found, x), ((1, y), found2, y)):
                         if k not in sets:
@@ -218,7 +229,7 @@ def _blocked(buckets: DataFrame, limit: int, percent: int) -> DataFrame:
                         out.append((int(min(ids[x], ids2[y])), int(max(ids[x], ids2[y]))))
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    return whole.unionByName(steps).mapInArrow(run, "a long, b long")
+    return whole.unionByName(across).mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -268,9 +279,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
         else:
             open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band")
             rest = stored(placed.join(open_, "band", "left_semi"), "rest")
-            full = _sets(docs, rest.select("doc_id").distinct(), width, text, doc_id)
-            wide = rest.join(named.select("doc_id", "n_shingles", "sketch", "bands").join(full, "doc_id"), "doc_id")
-            found_links = stored(_blocked(wide, limit, percent), "links")
+            small, large = rest.filter(F.col("members") <= LISTED), rest.filter(F.col("members") > LISTED)
+            short = named.select("doc_id", "n_shingles", "sketch", "bands")
+            likely = _blocked(small.join(short, "doc_id"), limit, percent, confirm=False)
+            likely = stored(likely if tested is None else likely.join(tested, ["a", "b"], "left_anti"), "pairs")
+            found_links = _confirmed(docs, likely, width, percent, text, doc_id)
+            full = _sets(docs, large.select("doc_id").distinct(), width, text, doc_id)
+            inside = _blocked(large.join(short.join(full, "doc_id"), "doc_id"), limit, percent, confirm=True)
+            found_links = found_links.unionByName(stored(inside, "links"))
         if links is not None and not found_links.limit(1).count():
             continue
         links = found_links if links is None else links.unionByName(found_links)
