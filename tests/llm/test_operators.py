@@ -155,6 +155,23 @@ def test_planted_leaks_are_found_and_nothing_else(spark, docs, texts):
     assert found == known | planted
 
 
+def test_a_text_leaked_into_a_third_of_all_documents_is_found_in_each(spark):
+    """Rarer benchmark words beside the copies must not hide them."""
+    rng = random.Random(8)
+    items = [" ".join(f"wide{n}" for n in range(24)), *(" ".join(f"rare{k}x{n}" for n in range(40)) for k in range(30))]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows, planted = [], set()
+    for i in range(600):
+        words = [f"f{rng.randrange(200)}" for _ in range(300)]
+        if i % 3 == 0:
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = [*rng.choice(items[1:]).split()[:10], *items[0].split()]
+            planted.add((i, 0))
+        rows.append((i, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {(r["doc_id"], r["item_id"]) for r in latent_leaks.find_leaks(frame, benchmark).collect()} == planted
+
+
 def test_svd_equals_a_dense_one():
     rng = np.random.default_rng(0)
     weight = np.concatenate([[0], rng.random(30)])
