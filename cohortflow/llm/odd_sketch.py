@@ -302,9 +302,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs``, with all their columns: one document of each group. Rows that repeat a kept id are dropped as well."""
-    judged = stored(near_duplicates(docs, width, percent, text, doc_id), "judged")
-    gone = judged.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(broadcast_if_small(gone), F.col(doc_id) == F.col("_gone"), "left_anti")
-    repeats = judged.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    return kept.dropDuplicates([doc_id]) if repeats else kept
+    """The rows of ``docs``, with all their columns: one document of each group. Rows that repeat a kept id are dropped as well.
+
+    Every row without an id is a document of its own. It is compared like all others, under a number above the largest id, so
+    in a group a document with an id stays.
+    """
+    number = F.col(doc_id).cast("long")
+    named = docs.filter(F.col(doc_id).isNotNull())
+    largest = F.lit(named.agg(F.coalesce(F.max(number), F.lit(0)).alias("n")).first()["n"])
+    unnamed = stored(docs.filter(F.col(doc_id).isNull()).withColumn("_unnamed", largest + 1 + F.monotonically_increasing_id()), "unnamed")
+    all_rows = named.select(number.alias("doc_id"), F.col(text).alias("text")).unionByName(unnamed.select(F.col("_unnamed").alias("doc_id"), F.col(text).alias("text")))
+    judged = stored(near_duplicates(all_rows, width, percent), "judged")
+    gone = broadcast_if_small(judged.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct())
+    kept = named.join(gone, number == F.col("_gone"), "left_anti")
+    repeats = judged.filter("kept").groupBy("doc_id").count().filter("count > 1").limit(1).count()
+    kept = kept.dropDuplicates([doc_id]) if repeats else kept
+    return kept.unionByName(unnamed.join(gone, F.col("_unnamed") == F.col("_gone"), "left_anti").drop("_unnamed"))

@@ -47,5 +47,20 @@ def test_a_group_of_near_copies_in_small_blocks(spark, monkeypatch, rounds):
     assert found == brute(rows)
 
 
+@pytest.mark.parametrize("repeat", [False, True])
+def test_rows_without_an_id_are_documents_of_their_own(spark, repeat):
+    def text(k, change=None):
+        return " ".join("changed" if n == change else f"w{k}x{n}" for n in range(80))
+
+    rows = [(1, text(1)), (2, text(2)), (None, text(3)), (None, text(4)), (None, text(4)), (None, text(4, 0)), (None, text(2)), (None, text(1, 79)), (None, ""), (None, None)]
+    rows += [(1, text(1))] if repeat else []
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    found = [tuple(r) for r in odd_sketch.drop_near_duplicates(docs).collect()]
+    assert sorted(i for i, _ in found if i) == [1, 2]
+    unnamed = [t for i, t in found if i is None]
+    assert len(unnamed) == 4 and {text(3), "", None} < {*unnamed}
+    assert len({text(4), text(4, 0)} & {*unnamed}) == 1
+
+
 def test_sketch_bound_keeps_similar_pairs():
     assert odd_sketch.estimate(odd_sketch.most_bits(0.8)) < 0.7
