@@ -19,23 +19,24 @@ CHUNKS = 300_000
 
 
 def tokenizer_digest(path: str) -> str:
-    """The version of a tokenizer: SHA-256 of its file and the library's release."""
+    """The version of a tokenizer: SHA-256 of its file, the library's release and how content is normalised."""
     import sentencepiece
     import tokenizers
 
     library = sentencepiece if path.endswith(".model") else tokenizers
     with open(path, "rb") as file:
-        return hashlib.sha256(file.read() + f"{library.__name__} {library.__version__}".encode()).hexdigest()
+        spaces = "folded" if drops_spaces(path) else "kept"
+        return hashlib.sha256(file.read() + f"{library.__name__} {library.__version__} spaces {spaces}".encode()).hexdigest()
 
 
 def content_digest(text: Column, path: str) -> Column:
     """SHA-256 of the normalised content.
 
-    For word tokenizers (.json here) runs of ASCII white space become one space: the tokenizer drops white space, so
-    texts with the same digest have the same count. Other tokenizers get the text as it is.
+    For tokenizers that drop white space (``drops_spaces``) runs of ASCII white space become one space, so texts with the
+    same digest have the same count. Other tokenizers get the text as it is.
     """
     whole = F.coalesce(text, F.lit(""))
-    return F.sha2(whole if path.endswith(".model") else F.regexp_replace(whole, SPACE_CLASS + "+", " "), 256)
+    return F.sha2(F.regexp_replace(whole, SPACE_CLASS + "+", " ") if drops_spaces(path) else whole, 256)
 
 
 @lru_cache(maxsize=2)

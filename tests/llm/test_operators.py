@@ -52,6 +52,18 @@ def test_other_tokenizers(docs, texts, tmp_path):
     assert found == {i: len(model.encode(texts[i])) for i in found}
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_white_space_counts_where_the_tokenizer_counts_it(spark, name, tmp_path):
+    import public_tokenizers
+
+    path = public_tokenizers.path(name)
+    rows = ["a b", "a  b", "a\n\nb", "a\n\n\n  b", "a \t \n b", " a b "]
+    found = token_counts.token_counts(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), path, str(tmp_path / "c"))
+    load = token_counts._load(path)
+    count = (lambda t: len(load.encode(t))) if name.endswith(".model") else (lambda t: len(load.encode(t, add_special_tokens=False)))
+    assert {r["doc_id"]: r["n_tokens"] for r in found.collect()} == {i: count(t) for i, t in enumerate(rows)}
+
+
 def test_license_blocks_against_all_blocks(spark):
     rng = random.Random(2)
     filler = [f"f{n}" for n in range(50)] + ["the", "license", "under"]
