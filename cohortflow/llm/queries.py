@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortflow.llm import latent_leaks, license_scan, odd_sketch, pair_rank, ppm, rule_ledger, source_mix, token_counts, toxic_gru, url_filter
+from cohortflow.llm import latent_leaks, license_scan, odd_sketch, pair_rank, pattern_packing, ppm, rule_ledger, source_mix, token_counts, toxic_gru, url_filter
 from cohortflow.plans.lineage import scratch_path
 
 
@@ -129,6 +129,15 @@ def _language(spark: SparkSession, d: str) -> DataFrame:
     return ppm.language_scores(table(spark, d, "documents").select("doc_id", "text"))
 
 
+
+def _packing(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers as public
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    packed = pattern_packing.pack(docs, public.path("byte_bpe_50k.json"), ranks=public.path("byte_bpe_50k.tiktoken"), pattern=public.PATTERN)
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_token_counts": _tokens,
     "op2_license_scan": _licenses,
@@ -140,5 +149,6 @@ QUERIES = {
     "op8_rule_ledger": _rules,
     "op9_near_duplicates": _near,
     "op10_ppm_scores": _language,
+    "op13_best_fit_packing": _packing,
 }
 ORACLES = {"op3_url_filter": URLS_SQL, "op8_rule_ledger": RULES_SQL, "op9_near_duplicates": NEAR_SQL}
