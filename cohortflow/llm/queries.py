@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortflow.llm import latent_leaks, license_scan, odd_sketch, pair_rank, pattern_packing, ppm, rule_ledger, source_mix, token_counts, toxic_gru, url_filter
+from cohortflow.llm import latent_leaks, license_scan, odd_sketch, pair_rank, pattern_packing, ppm, role_repair, rule_ledger, source_mix, token_counts, toxic_gru, url_filter
 from cohortflow.plans.lineage import scratch_path
 
 
@@ -138,6 +138,81 @@ def _packing(spark: SparkSession, d: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+
+def _damaged(conversations: DataFrame) -> DataFrame:
+    """The rows with planted faults, by a hash of conversation and turn."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    hashed = F.crc32(F.concat(blank("conv_id"), F.lit(":"), blank("turn"))) % 20
+    rows = conversations.select("conv_id", "turn", blank("role").alias("role"), blank("text").alias("text"), hashed.alias("_h")).filter("_h <> 0")
+    text = F.when(F.col("_h") == 1, "").when(F.col("_h") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("_h") == 4, "user").otherwise(F.col("role"))
+    copies = F.when(F.col("_h") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies).alias("_copy")).drop("_copy")
+
+
+def _repaired(spark: SparkSession, d: str) -> DataFrame:
+    conversations = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    found = role_repair.repair(_damaged(conversations))
+    kept = found.summary.join(role_repair.checksums(found).withColumnRenamed("conv_id", "_id"), F.col("conv_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    every = conversations.select(F.col("conv_id").alias("_id")).distinct()
+    zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(kept, F.col("_id").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("_id").alias("conv_id"), *zero, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    )
+
+
+def _repair_sql() -> str:
+    """Dynamic programming over the four places of the role pattern: none yet, after s, after u, after a."""
+    least = lambda *x: f"list_sort(list_filter([{', '.join(x)}], lambda e: e IS NOT NULL))[1]"
+    edit = lambda e, c, a, line="": f"CASE WHEN {e} IS NOT NULL THEN {{'c': {e}.c + {c}, 'a': {e}.a || '{a}', 'r': {e}.r{line}}} END"
+    extra = "CASE WHEN fault = 't' THEN 3 ELSE 0 END"
+    keep = lambda e, i: f"CASE WHEN may AND left(role, 1) = '{i}' THEN {edit(e, extra, 'K', ' || [role || chr(58) || text]')} END"
+    rerole = lambda e, name: f"CASE WHEN may THEN {edit(e, f'3 + {extra}', 'R', f' || [{chr(39)}{name}:{chr(39)} || text]')} END"
+    insert = lambda e, name: edit(e, 3, "I", f" || ['{name}:']")
+    drop = lambda e: edit(e, 4, "D")
+    before_user = ("e0", "e1", "e3")
+    u = least(drop("e2"), *(keep(e, "u") for e in before_user), *(rerole(e, "user") for e in before_user))
+    a = least(drop("e3"), keep("e2", "a"), rerole("e2", "assistant"))
+    inserted_u = lambda n0, n1, n2, n3: least(n2, insert(n0, "user"), insert(n1, "user"), insert(n3, "user"))
+    struct = "STRUCT(c BIGINT, a VARCHAR, r VARCHAR[])"
+    return rf"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+hashed AS (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(0, 8 * length(k)), lambda i: (ascii(k[i // 8 + 1]) >> CAST(i % 8 AS INTEGER)) & 1)),
+    lambda c, b: xor(c >> 1, CASE WHEN (xor(c, b) & 1) = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END)), CAST(4294967295 AS BIGINT)) % 20 AS h FROM src),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM hashed WHERE h <> 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM damaged),
+judged AS (
+  SELECT *, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1) AS pair,
+    CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'd'
+      WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 't' ELSE '' END AS fault FROM numbered),
+ready AS (SELECT *, fault NOT IN ('b', 'd') AS may FROM judged),
+begin AS (SELECT {{'c': CAST(0 AS BIGINT), 'a': '', 'r': CAST([] AS VARCHAR[])}} AS e0),
+walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS n, e0, CAST(NULL AS {struct}) AS e1, {insert("e0", "user")} AS e2, {insert("(" + insert("e0", "user") + ")", "assistant")} AS e3
+  FROM (SELECT DISTINCT conv_id FROM ready), begin
+  UNION ALL
+  SELECT conv_id, n, n0, n1, m2, {least("n3", insert("m2", "assistant"))} FROM (
+    SELECT conv_id, n, n0, n1, n3, {inserted_u("n0", "n1", "n2", "n3")} AS m2 FROM (
+      SELECT ready.conv_id, ready.n, {drop("e0")} AS n0, {least(drop("e1"), keep("e0", "s"))} AS n1, {u} AS n2, {a} AS n3
+      FROM walk JOIN ready ON ready.conv_id IS NOT DISTINCT FROM walk.conv_id AND ready.n = walk.n + 1))),
+ends AS (SELECT conv_id, {least("e0", "e3")} AS e FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY n DESC) = 1),
+stats AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+    count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM ready GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(e.c, 0) AS BIGINT) AS cost,
+  coalesce(e.a, '') AS audit, sha256(coalesce(array_to_string(e.r, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN stats ON stats.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 QUERIES = {
     "op1_token_counts": _tokens,
     "op2_license_scan": _licenses,
@@ -149,6 +224,7 @@ QUERIES = {
     "op8_rule_ledger": _rules,
     "op9_near_duplicates": _near,
     "op10_ppm_scores": _language,
+    "op12_role_repair": _repaired,
     "op13_best_fit_packing": _packing,
 }
-ORACLES = {"op3_url_filter": URLS_SQL, "op8_rule_ledger": RULES_SQL, "op9_near_duplicates": NEAR_SQL}
+ORACLES = {"op3_url_filter": URLS_SQL, "op8_rule_ledger": RULES_SQL, "op9_near_duplicates": NEAR_SQL, "op12_role_repair": _repair_sql()}
