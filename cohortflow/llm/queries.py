@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortflow.llm import latent_leaks, license_scan, odd_sketch, pair_rank, pattern_packing, ppm, role_repair, rule_ledger, source_mix, token_counts, toxic_gru, url_filter
+from cohortflow.llm import hard_negatives, latent_leaks, license_scan, odd_sketch, pair_rank, pattern_packing, ppm, role_repair, rule_ledger, source_mix, token_counts, toxic_gru, url_filter
 from cohortflow.plans.lineage import scratch_path
 
 
@@ -139,6 +139,28 @@ def _packing(spark: SparkSession, d: str) -> DataFrame:
 
 
 
+def _negatives(spark: SparkSession, d: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).cast("long")
+    whole = lambda x: F.when(~F.isnan(x) & (F.abs(x) != float("inf")), F.floor(256 * x.cast("double")))
+    rows = table(spark, d, "embeddings").select(F.col("vec_id").cast("long").alias("id"), label.alias("label"), F.transform("embedding", whole).alias("v"))
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+  s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
+
 def _damaged(conversations: DataFrame) -> DataFrame:
     """The rows with planted faults, by a hash of conversation and turn."""
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
@@ -189,8 +211,10 @@ damaged AS (
 numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM damaged),
 judged AS (
   SELECT *, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1) AS pair,
-    CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'd'
-      WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 't' ELSE '' END AS fault FROM numbered),
+    CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'd'
+      WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 't' ELSE '' END AS fault FROM numbered),
 ready AS (SELECT *, fault NOT IN ('b', 'd') AS may FROM judged),
 begin AS (SELECT {{'c': CAST(0 AS BIGINT), 'a': '', 'r': CAST([] AS VARCHAR[])}} AS e0),
 walk AS (
@@ -224,7 +248,8 @@ QUERIES = {
     "op8_rule_ledger": _rules,
     "op9_near_duplicates": _near,
     "op10_ppm_scores": _language,
+    "op11_hard_negatives": _negatives,
     "op12_role_repair": _repaired,
     "op13_best_fit_packing": _packing,
 }
-ORACLES = {"op3_url_filter": URLS_SQL, "op8_rule_ledger": RULES_SQL, "op9_near_duplicates": NEAR_SQL, "op12_role_repair": _repair_sql()}
+ORACLES = {"op3_url_filter": URLS_SQL, "op8_rule_ledger": RULES_SQL, "op9_near_duplicates": NEAR_SQL, "op11_hard_negatives": NEGATIVES_SQL, "op12_role_repair": _repair_sql()}
