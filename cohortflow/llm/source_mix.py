@@ -14,6 +14,8 @@ from cohortflow.plans.lineage import BROADCAST_ROWS
 
 #: Documents that are rounded together; a source is dealt into as many groups as it needs.
 GROUP_ROWS = 20_000
+#: Steps of at most two documents that correct a group's rounding.
+FLIPS = 50
 
 
 def capped_shares(sizes: Sequence[int], weights: Sequence[float], total: float, most: float = 2.0) -> list[float]:
@@ -83,11 +85,32 @@ def entropy_balance(cells: DataFrame, mass: str, targets: Mapping[str, Mapping],
     return {c: {k: (float(m[place[c, k]]) if (c, k) in place else float("-inf")) for k in targets[c]} for c in columns}
 
 
+def _nearest_flips(sizes: np.ndarray, up: np.ndarray, error: float) -> list[int]:
+    """Places of one or two documents whose rounding the other way brings ``error`` (words still wanted) nearest to 0; none if nothing helps.
+
+    ``up``: may take one copy more, +size words; the others may take one less. Pairs are one of each, found by bisection.
+    """
+    more, less = np.flatnonzero(up), np.flatnonzero(~up)
+    best, chosen = abs(error), []
+    for places, sign in ((more, 1), (less, -1)):
+        if len(places):
+            rest = np.abs(error - sign * sizes[places])
+            if rest.min() < best:
+                best, chosen = float(rest.min()), [int(places[rest.argmin()])]
+    if len(more) and len(less):
+        by_size = less[np.argsort(sizes[less], kind="stable")]
+        at = np.searchsorted(sizes[by_size], sizes[more] - error)
+        for shift in (0, 1):
+            other = by_size[np.clip(at - shift, 0, len(by_size) - 1)]
+            rest = np.abs(error - sizes[more] + sizes[other])
+            if rest.min() < best:
+                best, chosen = float(rest.min()), [int(more[rest.argmin()]), int(other[rest.argmin()])]
+    return chosen
 
 
 def _round_group(rows: pa.Table) -> pa.Table:
-    """Whole copies next to each rate, from the largest document down: each takes the error so far into account, so the group's
-    words end within about half its smallest documents of its share."""
+    """Whole copies next to each rate, from the largest document down: each takes the error so far into account. Then single documents and pairs
+    are rounded the other way as long as that brings the group's words nearer to its share."""
     order = rows.sort_by([("size", "descending"), ("_order", "ascending")]).select(["_row", "size", "rate"])
     sizes, rates = order["size"].to_numpy(), order["rate"].to_numpy()
     error, copies = 0.0, np.zeros(len(sizes), np.int64)
@@ -95,6 +118,14 @@ def _round_group(rows: pa.Table) -> pa.Table:
         wanted = rate + (error / size if size else 0.0)
         copies[at] = min(max(round(wanted), math.floor(rate)), math.ceil(rate))
         error += (rate - copies[at]) * size
+    free = np.flatnonzero((np.floor(rates) < np.ceil(rates)) & (sizes > 0))
+    for _ in range(FLIPS):
+        flips = free[_nearest_flips(sizes[free], copies[free] < rates[free], error)]
+        if not len(flips):
+            break
+        steps = np.where(copies[flips] < rates[flips], 1, -1)
+        copies[flips] += steps
+        error -= float((steps * sizes[flips]).sum())
     return pa.table({"_row": order["_row"], "copies": copies})
 
 
