@@ -216,3 +216,67 @@ def test_bloom_filter_loses_nothing_and_drops_most(spark):
     assert url_filter.possible_hits(listed, "key", bloom, blocks).count() == 2000
     other = spark.range(20_000).select(F.concat(F.lit("other"), "id").alias("key"))
     assert url_filter.possible_hits(other, "key", bloom, blocks).count() < 200
+
+
+def lcs(a, b):
+    """Longest common subsequence by the full table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_retrieval_recall_against_all_passages(spark, docs, texts):
+    """Every document and benchmark text compared in full; latent retrieval has to find at least nine in ten."""
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    rng, changed = random.Random(11), dict(texts)
+    for n, i in enumerate(sorted(texts)[:90]):
+        words = items[sorted(items)[n % len(items)]].split()
+        share = (0.0, 0.1, 0.2)[n % 3]  # words replaced, and half as many lost
+        words = [f"other{rng.randrange(99)}" if rng.random() < share else w for w in words if rng.random() >= share / 2]
+        own = changed[i].split()
+        at = rng.randrange(len(own) + 1)
+        changed[i] = " ".join([*own[:at], *words, *own[at:]])
+    coded = {k: latent_leaks.folded_words(t.encode()) for k, t in items.items()}
+    block, expected = latent_leaks.BLOCK_WORDS, set()
+    for i, text in changed.items():
+        words = latent_leaks.folded_words(text.encode())
+        for k, wanted in coded.items():
+            if not wanted or len(wanted) > 2 * block:
+                continue
+            mine = {*wanted}
+            for start in range(0, len(words), block):
+                around = words[max(0, start - len(wanted)) : start + 2 * block + len(wanted)]
+                if sum(w in mine for w in around) < 0.6 * len(wanted):
+                    continue
+                shared, tail = lcs(wanted, around) / len(wanted), wanted[-max(1, len(wanted) // 3) :]
+                if shared >= latent_leaks.COPY or shared >= latent_leaks.PARAPHRASE and lcs(tail, around) / len(tail) >= latent_leaks.ANSWER:
+                    expected.add((i, k))
+                    break
+    frame = spark.createDataFrame(list(changed.items()), "doc_id long, text string").repartition(4)
+    found = {(r["doc_id"], r["item_id"]) for r in latent_leaks.find_leaks(frame, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
+    assert len(expected) > 60 and len(found & expected) >= 0.9 * len(expected)
+    assert found <= expected
+
+
+def test_mixed_sizes_are_the_words_of_the_texts(spark):
+    rows = [(1, "a b  c", "x", 5), (2, None, None, 5), (3, "", "x", 5), (4, " one\ttwo\x0bthree\x85four ", None, 5)]
+    found = {r["doc_id"]: r for r in source_mix.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string, size int")).collect()}
+    assert {i: r["size"] for i, r in found.items()} == {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t, _, _ in rows}
+
+
+def test_rounding_flips_reach_the_share():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    for n in (1, 2, 5, 40, 400):
+        sizes, rate = rng.integers(1, 3000, n), float(rng.uniform(0, 2))
+        group = pa.table({"_row": pa.array(range(n)), "size": pa.array(sizes), "rate": pa.array(np.full(n, rate)), "_order": pa.array(rng.permutation(n))})
+        out = source_mix._round_group(group)
+        by_row = dict(zip(out["_row"].to_pylist(), out["copies"].to_pylist(), strict=True))
+        taken = sum(by_row[i] * int(s) for i, s in enumerate(sizes))
+        assert all(int(rate) <= c <= int(np.ceil(rate)) for c in by_row.values())
+        if n >= 40:
+            assert abs(taken - rate * sizes.sum()) < 5
