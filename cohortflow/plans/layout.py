@@ -1,10 +1,10 @@
-"""File layout: rows range-clustered on 1-2 columns so that file statistics prune scans."""
+"""File layout: rows range-clustered on one or more columns so that file statistics prune scans."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def cluster_rows(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -17,3 +17,52 @@ def cluster_rows(df: DataFrame, columns: Sequence[str], partitions: int | None =
     keys = [*columns, "_source_task"]
     ranged = tagged.repartitionByRange(partitions, *keys) if partitions else tagged.repartitionByRange(*keys)
     return ranged.sortWithinPartitions(*columns).drop("_source_task")
+
+
+#: Ranks of a column on the curve, as bits.
+RANK_BITS = 8
+
+
+def _as_number(df: DataFrame, column: str) -> Column:
+    """A number in the order of the column's values: texts by their first six bytes."""
+    kind = dict(df.dtypes)[column]
+    if kind == "string":
+        head = F.rpad(F.hex(F.substring(F.encode(F.col(column), "UTF-8"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if kind == "date":
+        return F.unix_date(column).cast("double")
+    return F.col(column).cast("timestamp").cast("double") if kind.startswith("timestamp") else F.col(column).cast("double")
+
+
+def _range_rank(value: Column, edges: Sequence[float]) -> Column:
+    """How many of the edges lie at or below the value; 0 for nulls."""
+    if not edges:
+        return F.lit(0).cast("long")
+    below = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda edge: edge <= value))
+    return F.when(value.isNull(), 0).otherwise(below).cast("long")
+
+
+def curve_position(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Place on a space-filling curve: the bits of the columns' range ranks in turn. Nulls have rank 0.
+
+    The ranks' edges are approximate quantiles, one pass for all columns, so each column is cut into ranges of like size whatever its values.
+    """
+    shares = [k / (1 << RANK_BITS) for k in range(1, 1 << RANK_BITS)]
+    found = df.agg(*[F.percentile_approx(_as_number(df, c), shares, 2000).alias(f"q{n}") for n, c in enumerate(columns)]).first()
+    position = F.lit(0).cast("long")
+    for n, c in enumerate(columns):
+        rank = _range_rank(_as_number(df, c), sorted(set(found[f"q{n}"] or [])))
+        for bit in range(RANK_BITS):
+            position = position.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("long")), bit * len(columns) + n))
+    return position
+
+
+def cluster_on_curve(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Range-partition and sort by the place on the curve over ``columns``, so that a filter on any one of them touches few files.
+
+    As in ``cluster_rows``, the input task closes the range key, so that rows of one hot place fill several files.
+    """
+    tagged = df.withColumn("_curve", curve_position(df, columns)).withColumn("_source_task", F.spark_partition_id())
+    keys = ["_curve", "_source_task"]
+    ranged = tagged.repartitionByRange(partitions, *keys) if partitions else tagged.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions("_curve").drop(*keys)

@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from cohortflow.clinical import gold
 from cohortflow.clinical.silver import SILVER_TABLES, to_silver, typed_columns
 from cohortflow.operators.quality import quality_report
+from cohortflow.semantic.clinical import clinical_model
 from cohortflow.sources.tables import materialize
-from cohortflow.streaming.ingest import append_to_table, json_stream
+from cohortflow.streaming.batches import SilverBatches
+from cohortflow.streaming.evolving import append_growing
+from cohortflow.streaming.ingest import BAD_RECORD, append_to_table, json_stream
 
 TABLES = tuple(
     [t.source for t in SILVER_TABLES]
@@ -25,17 +28,24 @@ def ingest_bronze(
     database: str,
     sources: Mapping[str, str],
     checkpoint_dir: str,
-    schemas: Mapping[str, T.StructType],
+    schemas: Mapping[str, T.StructType] | None = None,
     name_glob: str = "{entity}*.json",
     multi_line: bool = True,
+    keep_bad: bool = True,
 ) -> None:
-    """One stream per entity, running side by side. Entities may share a folder: the file name tells them apart."""
+    """One stream per entity, running side by side. Entities may share a folder: the file name tells them apart.
+
+    With ``keep_bad`` records that do not fit keep their text. Without ``schemas`` the files are JSON lines whose fields may grow: the
+    schema is stored next to the checkpoints, new fields become columns, and what does not fit is kept per record.
+    """
     queries = []
     for table in SILVER_TABLES:
-        stream = json_stream(
-            spark, sources[table.entity], schemas[table.entity], name_glob.format(entity=table.entity), multi_line
-        )
-        queries.append(append_to_table(stream, f"{database}.{table.source}", f"{checkpoint_dir}/{table.entity}"))
+        glob, marks, name = name_glob.format(entity=table.entity), f"{checkpoint_dir}/{table.entity}", f"{database}.{table.source}"
+        if schemas is None:
+            queries.append(append_growing(spark, sources[table.entity], name, marks, glob))
+        else:
+            stream = json_stream(spark, sources[table.entity], schemas[table.entity], glob, multi_line, keep_bad=keep_bad)
+            queries.append(append_to_table(stream, name, marks))
     for query in queries:
         query.awaitTermination()
 
@@ -47,6 +57,24 @@ def refresh_silver(spark: SparkSession, database: str) -> None:
         materialize(silver, f"{database}.{table.name}", table.cluster_by, table.comment)
 
 
+def bad_records(spark: SparkSession, database: str) -> DataFrame:
+    """table, n_rows, bad: how many bronze records did not fit, per table that keeps them."""
+    parts = []
+    for table in SILVER_TABLES:
+        bronze = spark.read.table(f"{database}.{table.source}")
+        bad = F.count(BAD_RECORD) if BAD_RECORD in bronze.columns else F.lit(0).cast("long")
+        parts.append(bronze.agg(F.count(F.lit(1)).alias("n_rows"), bad.alias("bad")).select(F.lit(table.source).alias("table"), "n_rows", "bad"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def silver_batches(spark: SparkSession, database: str, work_dir: str) -> dict[str, SilverBatches]:
+    """Silver tables that grow with bronze, by entity: new bronze rows only, each micro-batch once, its rule counts in the ledger."""
+    found = {t.entity: SilverBatches(spark, f"{work_dir}/{t.name}", t) for t in SILVER_TABLES}
+    for table in SILVER_TABLES:
+        found[table.entity].update(spark.readStream.table(f"{database}.{table.source}"))
+    return found
+
+
 def silver_report(spark: SparkSession, database: str) -> DataFrame:
     """table, rule, action, passed, failed, dropped for all rules, counted over bronze.
 
@@ -74,6 +102,8 @@ def gold_frames(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def refresh_gold(spark: SparkSession, database: str) -> None:
+    """Recompute the gold tables from silver, with the governed model's column descriptions."""
+    described = clinical_model().comments
     frames = gold_frames({t.entity: spark.read.table(f"{database}.{t.name}") for t in SILVER_TABLES})
     for table in (gold.SAFETY, gold.OUTCOMES, gold.EFFICACY):
-        materialize(frames[table.name], f"{database}.{table.name}", table.cluster_by, table.comment)
+        materialize(frames[table.name], f"{database}.{table.name}", table.cluster_by, table.comment, column_comments=described.get(table.name))

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 from cohortflow.learning import runs
 from cohortflow.learning.encode import select_features
 from cohortflow.learning.model_registry import ModelRegistry, champion_gate, inference_check
-from cohortflow.learning.search import SearchSpace, param_search
+from cohortflow.learning.search import TRIALS, SearchSpace, param_search, params_of
 from cohortflow.learning.split import hash_split, stratified_split
-from cohortflow.learning.train import BoosterParams, FeatureColumns, evaluate_splits, params_as_text, train_gbt
+from cohortflow.learning.train import FIT_ROWS, BoosterParams, FeatureColumns, evaluate_splits, params_as_text, train_gbt
 from cohortflow.plans.lineage import materialise_evenly
 from cohortflow.sources.tables import dataset_fingerprint
 
@@ -36,8 +36,9 @@ class ModelJob:
     drop: Sequence[str] = NOT_FEATURES
     baseline: BoosterParams = BoosterParams()
     space: SearchSpace = SearchSpace()
-    trials: int = 32
-    parallelism: int = 4
+    trials: int = TRIALS
+    parallelism: int = 1
+    fit_rows: int = FIT_ROWS
     seed: int = 42
     exact_split: bool = True
 
@@ -65,22 +66,22 @@ class ModelJob:
         def log(stage: str, params: BoosterParams, metrics: dict, parent: str | None = None) -> str:
             return runs.log_run(spark, self.runs_path, self.name, stage, params_as_text(params), metrics, tags, parent)
 
-        baseline = train_gbt(rows, "label", features, self.baseline, early_stop=False)
+        baseline = train_gbt(rows, "label", features, self.baseline, early_stop=False, fit_rows=self.fit_rows)
         log("baseline", self.baseline, evaluate_splits(baseline, rows, "label"))
 
-        drawn = self.space.draw(self.trials, self.seed)
-        found = param_search(rows, "label", features, self.trials, self.space, self.seed, self.parallelism).collect()
+        found = param_search(rows, "label", features, self.trials, self.space, self.seed, self.parallelism, self.fit_rows).collect()
         parent = runs.log_run(spark, self.runs_path, self.name, "search", {"trials": str(self.trials)}, tags=tags)
         for row in found:
-            log("trial", drawn[row["trial"]], row["metrics"], parent)
+            log("trial", params_of(row), row["metrics"], parent)
+
         def rank(row) -> tuple:  # a trial without an AUC comes last
             auc = row["metrics"].get("validation_roc_auc")
             return (auc is not None and auc == auc, auc or 0.0, -row["trial"])
 
-        best = max(found, key=rank)
+        best = params_of(max(found, key=rank))
 
-        final = train_gbt(rows, "label", features, drawn[best["trial"]])
-        log("final", drawn[best["trial"]], evaluate_splits(final, rows, "label"))
+        final = train_gbt(rows, "label", features, best, fit_rows=self.fit_rows)
+        log("final", best, evaluate_splits(final, rows, "label"))
         registry = ModelRegistry(spark, f"{self.work_dir}/models")
         inputs = rows.select(*features.names).schema.json()
         return champion_gate(registry, self.name, final, rows.filter("split = 'test'"), "label", inputs)

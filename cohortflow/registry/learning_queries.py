@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortflow.learning import encode, metrics, runs, split
 from cohortflow.learning.model_registry import ModelRegistry, batch_score, champion_gate, inference_check, schema_check
-from cohortflow.learning.search import SearchSpace, param_search
+from cohortflow.learning.search import param_search
 from cohortflow.learning.train import (
     BoosterParams,
     FeatureColumns,
@@ -138,9 +138,6 @@ BEST_SQL = """SELECT o_custkey AS name, o_orderkey AS run_id, o_totalprice AS to
 
 # --- training ----------------------------------------------------------------------------------------
 
-#: A few trees show the behaviour; the library's defaults are the full budget.
-SMALL = BoosterParams(trees=6, leaves=8)
-SMALL_SPACE = SearchSpace(trees=(3, 6, 3), max_depth=(2, 3), leaves=(4, 8))
 RAW = ["drug_name", "ae_type", "concomitant_drug", "dosage_mg", "days_on_treatment", "risk_score", "drug_interaction_flag"]
 
 
@@ -156,28 +153,28 @@ def _labelled(spark: SparkSession, d: str, leak: bool) -> tuple[DataFrame, Featu
 def _train(spark: SparkSession, d: str) -> DataFrame:
     """Metrics of a fit without the leaking score."""
     rows, features = _labelled(spark, d, leak=False)
-    return metric_rows(rows, evaluate_splits(train_gbt(rows, "label", features, SMALL), rows, "label"))
+    return metric_rows(rows, evaluate_splits(train_gbt(rows, "label", features), rows, "label"))
 
 
 def _importance(spark: SparkSession, d: str) -> DataFrame:
     rows, features = _labelled(spark, d, leak=True)
-    return feature_importance(train_gbt(rows, "label", features, SMALL), rows, features)
+    return feature_importance(train_gbt(rows, "label", features), rows, features)
 
 
 def _ablation(spark: SparkSession, d: str) -> DataFrame:
     rows, features = _labelled(spark, d, leak=True)
-    return ablate_feature(rows, "label", features, "risk_score", SMALL)
+    return ablate_feature(rows, "label", features, "risk_score")
 
 
 def _search(spark: SparkSession, d: str) -> DataFrame:
     rows, features = _labelled(spark, d, leak=False)
-    found = param_search(rows, "label", features, trials=3, space=SMALL_SPACE, parallelism=3)
+    found = param_search(rows, "label", features)
     return found.select("trial", F.col("params")["trees"].alias("trees"), F.col("metrics")["validation_roc_auc"].alias("roc_auc"))
 
 
 def _scored_rows(spark: SparkSession, d: str) -> DataFrame:
     rows, features = _labelled(spark, d, leak=False)
-    scored = batch_score(train_gbt(rows, "label", features, SMALL), rows)
+    scored = batch_score(train_gbt(rows, "label", features), rows)
     return assert_probability(scored, "predicted_probability").select("row_id", "predicted_probability", "predicted_class", "label")
 
 
@@ -185,7 +182,7 @@ def _gate(spark: SparkSession, d: str) -> DataFrame:
     """First version promotes, a weaker one challenges, the first again ties and promotes."""
     rows, features = _labelled(spark, d, leak=False)
     registry = ModelRegistry(spark, scratch_path(spark, "registry"))
-    strong = train_gbt(rows, "label", features, SMALL)
+    strong = train_gbt(rows, "label", features)
     weak = train_gbt(rows, "label", FeatureColumns((), ["days_on_treatment"], ()), BoosterParams(trees=1, leaves=2))
     test = rows.filter("split = 'test'")
     decisions = [champion_gate(registry, "classifier", m, test, "label", rows.schema.json()) for m in (strong, weak, strong)]
@@ -195,7 +192,7 @@ def _gate(spark: SparkSession, d: str) -> DataFrame:
 def _inference(spark: SparkSession, d: str) -> DataFrame:
     rows, features = _labelled(spark, d, leak=False)
     registry = ModelRegistry(spark, scratch_path(spark, "registry"))
-    champion_gate(registry, "classifier", train_gbt(rows, "label", features, SMALL), rows.filter("split = 'test'"), "label")
+    champion_gate(registry, "classifier", train_gbt(rows, "label", features), rows.filter("split = 'test'"), "label")
     return inference_check(registry, "classifier", rows, "label", "row_id", ["drug_name", "ae_type", "dosage_mg"])
 
 
@@ -203,9 +200,7 @@ def _model_job(spark: SparkSession, d: str) -> DataFrame:
     """Split, baseline, search, final model and gate in one job; the metrics of its runs."""
     row_id = F.xxhash64(*KEYS, "onset_date", "dosage_mg", "risk_score")
     events = view(spark, d, "b_events").withColumn("event_id", row_id).drop(*KEYS, "trial_id")
-    job = ModelJob(
-        "classifier", scratch_path(spark, "job"), "b_events", baseline=SMALL, space=SMALL_SPACE, trials=2, parallelism=2,
-    )
+    job = ModelJob("classifier", scratch_path(spark, "job"), "b_events")
     job.run(events)
     return runs.read_runs(spark, job.runs_path).select(
         "stage", F.col("params")["trees"].alias("trees"), F.explode_outer("metrics").alias("metric", "value")

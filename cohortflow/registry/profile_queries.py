@@ -40,13 +40,15 @@ def _rate_sql(column: str) -> str:
 
 
 def _nulls(spark: SparkSession, d: str) -> DataFrame:
-    results = view(spark, d, "b_results").select("patient_id", "trial_id", "tumor_size_mm", "response", "alt_iu_l")
-    return profile.null_profile(results).drop("type")
+    return profile.null_profile(view(spark, d, "b_results")).drop("type")
 
 
 NULLS_SQL = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS n_nulls FROM b_results"
-    for c in ("patient_id", "trial_id", "tumor_size_mm", "response", "alt_iu_l")
+    for c in (
+        "l_orderkey", "l_partkey", "patient_id", "trial_id", "drug_name", "treatment_arm", "response", "visit_number", "visit_date", "dosage_mg",
+        "blood_pressure_systolic", "blood_pressure_diastolic", "heart_rate_bpm", "alt_iu_l", "creatinine_mg_dl", "tumor_size_mm",
+    )
 )
 DESCRIBE_SQL = " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS sd, min({c}) AS min,
@@ -112,7 +114,11 @@ FROM b_events e LEFT JOIN b_patients p ON e.patient_id = p.patient_id GROUP BY s
 
 
 def _screen(spark: SparkSession, d: str) -> DataFrame:
-    screened = leakage_screen(_events(spark, d), "serious", NUMBERS, ["severity", "ae_type", "drug_name"])
+    """All columns but the label, the keys and the date."""
+    events = _events(spark, d)
+    features = events.drop("serious", "l_orderkey", "l_partkey", "l_linenumber", "patient_id", "trial_id", "onset_date")
+    numbers = [*profile.names_of_type(features, "numeric"), *profile.names_of_type(features, "boolean")]
+    screened = leakage_screen(events, "serious", numbers, profile.names_of_type(features, "categorical"))
     return rounded(screened, 6, "correlation", "auc", "min_rate", "max_rate")
 
 
@@ -128,13 +134,13 @@ SCREEN_SQL = " UNION ALL ".join(
         f"""SELECT feature, kind, round(correlation, 6) AS correlation, round(auc, 6) AS auc, CAST(NULL AS DOUBLE) AS min_rate,
   CAST(NULL AS DOUBLE) AS max_rate, correlation > 0.6 OR auc > 0.95 AS suspicious
 FROM (SELECT '{c}' AS feature, 'numeric' AS kind, abs(corr(CAST({c} AS DOUBLE), CAST(CAST(serious AS INT) AS DOUBLE))) AS correlation, {_auc_sql(c)} AS auc FROM b_events)"""
-        for c in NUMBERS
+        for c in (*NUMBERS, "drug_interaction_flag")
     ]
     + [
         f"""SELECT '{c}' AS feature, 'categorical' AS kind, CAST(NULL AS DOUBLE) AS correlation, CAST(NULL AS DOUBLE) AS auc,
   round(min(rate), 6) AS min_rate, round(max(rate), 6) AS max_rate, max(rate) >= 0.99 OR min(rate) <= 0.01 AS suspicious
 FROM (SELECT {c}, avg(CAST(serious AS INT)) AS rate FROM b_events GROUP BY {c})"""
-        for c in ("severity", "ae_type", "drug_name")
+        for c in ("severity", "ae_type", "drug_name", "concomitant_drug", "outcome")
     ]
 )
 DICTIONARY_SQL = " UNION ALL ".join(

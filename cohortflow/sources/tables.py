@@ -5,50 +5,64 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from cohortflow.plans.layout import cluster_rows
+from cohortflow.plans.layout import cluster_on_curve, cluster_rows
 
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def read_parquet(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """The rows below ``path`` in the given columns; none if nothing has been written there."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def materialize(
     df: DataFrame,
     table: str,
     cluster_by: Sequence[str] = (),
     comment: str | None = None,
     statistics: bool = True,
+    column_comments: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Recompute ``table`` from ``df`` and return it as read back.
 
-    The new rows go to a table of their own first; only when they are complete do two renames put them in place, so a
-    job that fails leaves the old rows readable, and ``df`` may read the table it replaces.
+    The new rows go to a folder of their own; when they are complete, one change of the table's location publishes them. So the table is never
+    absent, a job that fails leaves the old rows readable, nothing is copied, and ``df`` may read the table it replaces. Only a change
+    of columns drops the table's entry and makes it anew. The folder of the version before stays for readers that still use it.
 
     Statistics (row count from the file footers, column figures for the clustered columns only) let later
     plans size their joins from facts instead of guesses.
     """
     spark = df.sparkSession
-    out = cluster_rows(df, cluster_by) if cluster_by else df
-    tag = uuid.uuid4().hex[:12]
-    fresh, old = f"{table}__next_{tag}", f"{table}__old_{tag}"
-    try:
-        out.write.format("parquet").saveAsTable(fresh)
-        if comment:
-            spark.sql(f"COMMENT ON TABLE {fresh} IS {_quoted(comment)}")
-        if statistics:
-            columns = f" FOR COLUMNS {', '.join(cluster_by)}" if cluster_by else ""
-            spark.sql(f"ANALYZE TABLE {fresh} COMPUTE STATISTICS{columns}")
-    except BaseException:
-        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-        raise
-    replaced = spark.catalog.tableExists(table)
-    if replaced:
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    if replaced:
-        spark.sql(f"DROP TABLE {old}")
+    out = describe_columns(df, {c: t for c, t in (column_comments or {}).items() if c in df.columns})
+    if cluster_by:  # several columns share the files' order, so that each of them prunes
+        out = cluster_rows(out, cluster_by) if len(cluster_by) == 1 else cluster_on_curve(out, cluster_by)
+    database, _, name = table.rpartition(".")
+    folder = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    path = f"{folder.rstrip('/')}/{name}__{uuid.uuid4().hex[:12]}"
+    out.write.parquet(path)
+    fresh = spark.read.parquet(path).schema
+    if spark.catalog.tableExists(table) and spark.read.table(table).schema != fresh:
+        spark.sql(f"DROP TABLE {table}")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(path)}")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION {_quoted(path)}")
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {table} IS {_quoted(comment)}")
+    if statistics:
+        columns = f" FOR COLUMNS {', '.join(cluster_by)}" if cluster_by else ""
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS{columns}")
     return spark.read.table(table)
 
 

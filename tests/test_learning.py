@@ -1,12 +1,15 @@
 import random
+import re
 
+import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from cohortflow.learning import encode, metrics, runs, split
+from cohortflow.learning import encode, ensemble, metrics, runs, search, split
 from cohortflow.learning.model_registry import CHALLENGER, CHAMPION, ModelRegistry, batch_score, champion_gate, inference_check, schema_check
 from cohortflow.learning.search import SearchSpace, param_search
-from cohortflow.learning.train import BoosterParams, FeatureColumns, ablate_feature, refuse_wide_categories, evaluate_splits, train_gbt
+from cohortflow.learning.train import BoosterParams, FeatureColumns, ablate_feature, evaluate_splits, feature_importance, prefixes, train_gbt, with_probability
 from cohortflow.plans.lineage import broadcast_if_small, shared_dir
 from cohortflow.plans.ordered import running_totals
 
@@ -175,10 +178,97 @@ def test_search_reports_one_row_per_trial(spark):
     assert [r["trial"] for r in found] == [0, 1] and all(0 <= r["metrics"]["validation_roc_auc"] <= 1 for r in found)
 
 
-def test_wide_text_columns_are_refused(spark):
-    frame = spark.range(30000).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError, match="encode"):
-        refuse_wide_categories(frame, ["c"])
+def test_a_column_may_have_any_number_of_values_and_reloads_with_them(spark, tmp_path):
+    """The dictionary is part of the artefact: -1 for unseen values, -2 for missing ones, also after a reload."""
+    base = spark.range(12000).select("id", F.concat(F.lit("v"), "id").alias("wide"), (F.col("id") % 2).cast("int").alias("label"), (F.col("id") % 2 + F.rand(1)).alias("x"))
+    rows = split.hash_split(base, "id").cache()
+    features = FeatureColumns.of(rows, ["id", "label", "split"])
+    model = train_gbt(rows, "label", features, SMALL)
+    path = str(tmp_path / "m")
+    model.save(path)
+    again = PipelineModel.load(path)
+    asked = rows.filter("split = 'train'").limit(20).unionByName(rows.limit(1).withColumn("wide", F.lit("never"))).unionByName(rows.limit(1).withColumn("wide", F.lit(None).cast("string")))
+    codes = {r["wide"]: r["wide__code"] for r in again.stages[0].transform(asked).collect()}
+    assert codes["never"] == -1 and codes[None] == -2
+    train = sorted(r["wide"] for r in rows.filter("split = 'train'").select("wide").collect())
+    assert all(code == 1 + train.index(value) for value, code in codes.items() if value not in ("never", None))
+    scores = [sorted((r["id"], r["wide"] or "", r["probability"]) for r in with_probability(m, asked).collect()) for m in (model, again)]
+    assert scores[0] == scores[1]
+
+
+def test_split_counts_and_margins_equal_a_walk_of_the_trees(spark):
+    rows = training_rows(spark)
+    features = FeatureColumns.of(rows, ["id", "label", "split"])
+    model = train_gbt(rows, "label", features, BoosterParams(trees=5, leaves=8, min_rows=5), early_stop=False)
+    booster, counted, number = model.stages[-1], {}, re.compile(r"If \(feature (\d+) ")
+    for tree in booster.trees:
+        for found in number.findall(tree.toDebugString):
+            counted[features.names[int(found)]] = counted.get(features.names[int(found)], 0) + 1
+    table = {r["feature"]: r for r in feature_importance(model, rows, features).collect()}
+    assert {f: r["splits"] for f, r in table.items()} == {f: counted.get(f, 0) for f in features.names}
+    assert abs(sum(r["importance"] for r in table.values()) - 1) < 1e-9
+    prepared = model.transform(rows)
+    trees = ensemble.Trees.of(ensemble.node_table(booster, spark), booster.treeWeights)
+    margins = {r["id"]: r["margins"] for r in ensemble.running_margins(prepared, trees, "features", ["id"]).collect()}
+    for r in prepared.select("id", "rawPrediction").collect():
+        assert abs(2 * margins[r["id"]][-1] - r["rawPrediction"][1]) < 1e-9 or abs(margins[r["id"]][-1] - r["rawPrediction"][1]) < 1e-9
+    short = ensemble.shortened(booster, 2)
+    assert short.getNumTrees == 2
+    cut = {r["id"]: r["rawPrediction"][1] for r in short.transform(prepared.select("id", "features")).collect()}
+    assert all(abs(cut[i] - m[1]) < 1e-9 or abs(cut[i] - 2 * m[1]) < 1e-9 for i, m in margins.items())
+
+
+def prefix_frame(spark, aucs):
+    return spark.createDataFrame(list(enumerate(aucs, 1)), "trees int, roc_auc double")
+
+
+@pytest.mark.parametrize(
+    ("aucs", "patience", "reached", "kept"),
+    [
+        ([0.5, 0.6, 0.6, 0.55, 0.9], 2, 4, 2),  # ends before the last one is seen
+        ([0.5, 0.6, 0.6, 0.55, 0.9], 3, 5, 5),
+        ([0.7, 0.7, 0.7], 20, 3, 1),
+        ([None, None], 1, 1, 1),
+        ([0.4, 0.5, 0.4], 1, 3, 2),
+    ],
+)
+def test_patience(spark, aucs, patience, reached, kept):
+    found = ensemble.kept_prefix(prefix_frame(spark, aucs), patience).collect()
+    assert len(found) == reached and [r["trees"] for r in found if r["kept"]] == [kept]
+
+
+def test_patience_goes_on_where_a_tolerance_stops(spark):
+    """Two flags decide together: one tree of depth 1 brings next to nothing, later ones do."""
+    base = spark.range(4000).select("id", (F.rand(5) < 0.5).cast("int").alias("a"), (F.rand(6) < 0.5).cast("int").alias("b"), F.rand(7).alias("noise"))
+    labelled = base.withColumn("label", F.when(F.rand(8) < 0.05, 1 - (F.col("a") + F.col("b") > 0).cast("int")).otherwise((F.col("a") + F.col("b") > 0).cast("int")))
+    rows = split.hash_split(labelled, "id").cache()
+    features = FeatureColumns([], ["a", "b", "noise"], [])
+    params = BoosterParams(trees=8, leaves=2, learning_rate=0.05, row_share=1.0, column_share=1.0, min_rows=1)
+    kept = train_gbt(rows, "label", features, params).stages[-1].getNumTrees
+    whole = train_gbt(rows, "label", features, params, early_stop=False)
+    prepared = whole.transform(rows.filter("split = 'validation'")).select("features", "label")
+    table = {r["trees"]: r["roc_auc"] for r in prefixes(whole.stages[-1], prepared, "label").collect()}
+    assert table[2] - table[1] < 0.01 or table[kept] > table[1]
+    assert kept > 1 and table[kept] == max(table.values())
+
+
+def test_search_agrees_with_itself_and_beats_random_places():
+    centre = (0.2, 0.7, 0.5, 0.9, 0.4, 0.3, 0.6, 0.1)
+    value = lambda place, number: -sum((x - c) ** 2 for x, c in zip(place, centre, strict=True))
+    assert search.search(value, 8, seed=3) == search.search(value, 8, seed=3) != search.search(value, 8, seed=4)
+    modelled = [max(t.value for t in search.search(value, 8, seed=s, stale=99)) for s in range(12)]
+    random = [max(value(p, 0) for p in np.random.default_rng(s).uniform(size=(32, 8))) for s in range(12)]
+    assert np.mean(modelled) > np.mean(random)
+    assert len(search.search(lambda place, number: 1.0, 2)) == search.STALE + 1  # nothing better for 20 trials
+    assert len(search.search(lambda place, number: float(number), 2)) == search.TRIALS
+    done = search.search(value, 8, trials=9, seed=3)
+    assert search.next_place(done, 8, 3) == search.search(value, 8, trials=10, seed=3)[-1].place  # goes on from stored trials
+    odd = [search.Trial(0, (0.5,), float("nan")), search.Trial(1, (0.5,), None), search.Trial(2, (0.1,), 0.3)]
+    assert max(odd, key=lambda t: t.rank).number == 2
+
+
+def test_registered_training_uses_the_whole_budget():
+    assert BoosterParams().trees == 200 and search.TRIALS == 32 and search.STARTUP == 5 and ensemble.PATIENCE == 20
 
 
 def test_broadcast_needs_a_proven_size(spark):
