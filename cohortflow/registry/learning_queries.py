@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortflow.learning import encode, metrics, runs, split
 from cohortflow.learning.model_registry import ModelRegistry, batch_score, champion_gate, inference_check, schema_check
-from cohortflow.learning.search import param_search
 from cohortflow.learning.train import (
     BoosterParams,
     FeatureColumns,
@@ -18,7 +17,6 @@ from cohortflow.learning.train import (
 )
 from cohortflow.operators.quality import assert_probability
 from cohortflow.plans.lineage import materialise_evenly, scratch_path
-from cohortflow.plans.model_job import ModelJob
 from cohortflow.registry.bindings import table, view, with_views
 from cohortflow.registry.profile_queries import rounded
 from cohortflow.sources.json_files import infer_schema, read_json, write_json
@@ -166,12 +164,6 @@ def _ablation(spark: SparkSession, d: str) -> DataFrame:
     return ablate_feature(rows, "label", features, "risk_score")
 
 
-def _search(spark: SparkSession, d: str) -> DataFrame:
-    rows, features = _labelled(spark, d, leak=False)
-    found = param_search(rows, "label", features)
-    return found.select("trial", F.col("params")["trees"].alias("trees"), F.col("metrics")["validation_roc_auc"].alias("roc_auc"))
-
-
 def _scored_rows(spark: SparkSession, d: str) -> DataFrame:
     rows, features = _labelled(spark, d, leak=False)
     scored = batch_score(train_gbt(rows, "label", features), rows)
@@ -196,17 +188,6 @@ def _inference(spark: SparkSession, d: str) -> DataFrame:
     return inference_check(registry, "classifier", rows, "label", "row_id", ["drug_name", "ae_type", "dosage_mg"])
 
 
-def _model_job(spark: SparkSession, d: str) -> DataFrame:
-    """Split, baseline, search, final model and gate in one job; the metrics of its runs."""
-    row_id = F.xxhash64(*KEYS, "onset_date", "dosage_mg", "risk_score")
-    events = view(spark, d, "b_events").withColumn("event_id", row_id).drop(*KEYS, "trial_id")
-    job = ModelJob("classifier", scratch_path(spark, "job"), "b_events")
-    job.run(events)
-    return runs.read_runs(spark, job.runs_path).select(
-        "stage", F.col("params")["trees"].alias("trees"), F.explode_outer("metrics").alias("metric", "value")
-    )
-
-
 def _schema_differences(spark: SparkSession, d: str) -> DataFrame:
     """The schema of the orders against the one inferred from all of them as JSON files."""
     orders = table(spark, d, "orders")
@@ -240,11 +221,9 @@ QUERIES = {
     "train_gbt": (_train, None),
     "feature_importance": (_importance, None),
     "ablate_feature": (_ablation, None),
-    "param_search": (_search, None),
     "batch_score": (_scored_rows, None),
     "champion_gate": (_gate, None),
     "inference_check": (_inference, None),
-    "model_job": (_model_job, None),
     "schema_check": (
         _schema_differences,
         """SELECT column_name AS "column", 'timestamp_ntz' AS expected, 'string' AS actual FROM (DESCRIBE orders)
