@@ -198,21 +198,24 @@ def columns_by_type(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, type string, type_class string")
 
 
-def feature_summary(df: DataFrame, target: str) -> DataFrame:
-    """column, type_class, role, approx_values: what a model would get to see."""
+def feature_summary(df: DataFrame, target: str, exact: bool = False) -> DataFrame:
+    """column, type_class, role, approx_values: what a model would get to see.
+
+    The number of values is a sketch's estimate of one pass, or with ``exact`` (then ``n_values``) counted after equal values of
+    each column have met, nulls left out.
+    """
+    described = [
+        F.struct(F.lit(f.name).alias("column"), F.lit(_class_of(f)).alias("type_class"), F.lit("target" if f.name == target else "feature").alias("role"))
+        for f in df.schema.fields
+    ]
+    if exact:
+        values = long_format(df, df.columns, as_type="string").filter(F.col("value").isNotNull()).distinct()
+        counted = values.groupBy("column").agg(F.count(F.lit(1)).alias("n_values"))
+        lines = df.sparkSession.range(1).select(F.inline(F.array(*described)))
+        # one row per column on both sides
+        return lines.join(F.broadcast(counted), "column", "left").select("column", "type_class", "role", F.coalesce("n_values", F.lit(0)).alias("n_values"))
     totals = df.agg(*[F.approx_count_distinct(c).alias(f"_{i}") for i, c in enumerate(df.columns)])
-    return _rows_from(
-        totals,
-        [
-            F.struct(
-                F.lit(f.name).alias("column"),
-                F.lit(_class_of(f)).alias("type_class"),
-                F.lit("target" if f.name == target else "feature").alias("role"),
-                F.col(f"_{i}").alias("approx_values"),
-            )
-            for i, f in enumerate(df.schema.fields)
-        ],
-    )
+    return _rows_from(totals, [line.withField("approx_values", F.col(f"_{i}")) for i, line in enumerate(described)])
 
 
 def value_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cohortflow.clinical import gold
 from cohortflow.clinical.silver import SILVER_TABLES, to_silver, typed_columns
+from cohortflow.config import JobConfig
 from cohortflow.operators.quality import quality_report
 from cohortflow.semantic.clinical import clinical_model
-from cohortflow.sources.tables import materialize
+from cohortflow.sources.tables import materialize, missing_tables, reset_database
 from cohortflow.streaming.batches import SilverBatches
 from cohortflow.streaming.evolving import append_growing
 from cohortflow.streaming.ingest import BAD_RECORD, append_to_table, json_stream
@@ -107,3 +108,16 @@ def refresh_gold(spark: SparkSession, database: str) -> None:
     frames = gold_frames({t.entity: spark.read.table(f"{database}.{t.name}") for t in SILVER_TABLES})
     for table in (gold.SAFETY, gold.OUTCOMES, gold.EFFICACY):
         materialize(frames[table.name], f"{database}.{table.name}", table.cluster_by, table.comment, column_comments=described.get(table.name))
+
+
+def run_layers(spark: SparkSession, config: JobConfig | None = None) -> DataFrame:
+    """The whole layered run with the session's parameters: new files of ``source_dir`` into bronze, silver and gold of ``database``.
+
+    Marks and schema versions lie below ``work_dir``. Returns the expected tables that are missing, that is none.
+    """
+    config = config or JobConfig.from_session(spark)
+    reset_database(spark, config.database)
+    ingest_bronze(spark, config.database, {t.entity: config.source_dir for t in SILVER_TABLES}, f"{config.work_dir}/marks")
+    refresh_silver(spark, config.database)
+    refresh_gold(spark, config.database)
+    return missing_tables(spark, config.database, TABLES)

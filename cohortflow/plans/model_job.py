@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from cohortflow.config import JobConfig
 from cohortflow.learning import runs
 from cohortflow.learning.encode import select_features
 from cohortflow.learning.model_registry import ModelRegistry, champion_gate, inference_check
@@ -42,6 +43,11 @@ class ModelJob:
     seed: int = 42
     exact_split: bool = True
 
+    @classmethod
+    def of(cls, config: JobConfig, name: str, source: str, **more) -> ModelJob:
+        """A job with the session's parameters: its seed, its working folder and a table of its database."""
+        return cls(name, f"{config.work_dir}/models", config.table(source), seed=config.seed, **more)
+
     @property
     def runs_path(self) -> str:
         return f"{self.work_dir}/runs"

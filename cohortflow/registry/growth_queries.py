@@ -14,7 +14,7 @@ from cohortflow.plans.layout import cluster_on_curve
 from cohortflow.plans.lineage import scratch_path
 from cohortflow.registry.bindings import ONCOLOGY, table, view, with_views
 from cohortflow.registry.gold_queries import GOLD_SQL, SAFETY_SQL, gold_tables, raw_rows, raw_sql
-from cohortflow.registry.semantic_queries import ASKED, MODEL
+from cohortflow.registry.semantic_queries import ASKED, BUILDERS, MODEL, ORR, SAE
 from cohortflow.semantic.entities import match_values
 from cohortflow.semantic.grading import grade_questions
 from cohortflow.sources import json_files, snapshots
@@ -134,6 +134,22 @@ GROWING_SQL = f"""SELECT CASE WHEN kind <> 'cut' THEN event_id END AS event_id,
   CASE WHEN kind = 'cut' THEN '{{"event_id": ' || event_id END AS bad_text
 FROM (SELECT *, CASE WHEN event_id % 2 = 0 THEN 'old' WHEN event_id % {BROKEN} = 0 THEN 'cut' WHEN event_id % {MISTYPED} = 0 THEN 'mistyped' ELSE 'new' END AS kind FROM events)"""
 
+# --- files of one JSON array each, next to files of another kind ----------------------------------------
+
+
+def _arrays(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers in printed arrays of 100, one file each; the nations' files in the same folders have other names."""
+    suppliers, path = table(spark, d, "supplier"), scratch_path(spark, "arrays")
+    rows = F.collect_list(F.struct(*suppliers.columns)).alias("rows")
+    arrays = suppliers.groupBy(F.floor(F.col("s_suppkey") / 100).alias("block")).agg(rows)
+    arrays.select("block", F.to_json("rows", {"pretty": "true"}).alias("value")).write.partitionBy("block").text(path)
+    json_files.write_json(table(spark, d, "nation"), f"{path}/block=other")
+    stream = json_stream(spark, f"{path}/*", suppliers.schema, "*.txt", multi_line=True)
+    target = scratch_path(spark, "bronze")
+    append_to_path(stream, target, scratch_path(spark, "marks")).awaitTermination()
+    return spark.read.parquet(target).select(*suppliers.columns, F.col(INGESTED_AT).isNotNull().alias("stamped"))
+
+
 # --- layout on a curve -------------------------------------------------------------------------------
 
 
@@ -205,6 +221,19 @@ near AS (
   WHERE levenshtein(phrase, lower(value)) <= CASE WHEN length(value) >= 9 THEN 2 WHEN length(value) >= 4 THEN 1 ELSE 0 END)
 SELECT p_partkey, asked, phrases.phrase, "column", value, CAST(distance AS INTEGER) AS distance FROM phrases JOIN near ON near.phrase = phrases.phrase"""
 
+# --- questions about one drug -------------------------------------------------------------------------
+
+
+def _about(question: str, **only):
+    source = MODEL.question(question).source
+    return lambda spark, d: MODEL.answer(spark, question, {source: BUILDERS[source](spark, d)}, only=only)
+
+
+DRUG = "Drug-7"
+ORR_OF_DRUG = f"SELECT drug_name, treatment_arm, total_observations, complete_response_count + partial_response_count AS responders, {ORR} AS orr_pct FROM gold_drug_efficacy WHERE drug_name = '{DRUG}'"
+SAFETY_OF_DRUG = f"""SELECT drug_name, total_adverse_events, serious_event_count, {SAE} AS serious_ae_rate_pct, severe_count, moderate_count,
+  mild_count, avg_risk_score, fatal_outcome_count FROM gold_trial_safety_summary WHERE drug_name = '{DRUG}'"""
+
 # --- graded questions --------------------------------------------------------------------------------
 
 _RATE = "CAST(100 AS DOUBLE) * ({}) / {}"
@@ -253,6 +282,9 @@ QUERIES = {
     "silver_ledger": (_silver_ledger, LEDGER_SQL),
     "gold_incremental": (_gold_incremental, GOLD_LATER_SQL),
     "ingest_growing_schema": (_growing, GROWING_SQL),
+    "ingest_json_arrays": (_arrays, "SELECT *, true AS stamped FROM supplier"),
+    "q_orr_of_drug": (_about("orr_by_drug_arm", drug_name=DRUG), with_views(ORR_OF_DRUG, **GOLD_SQL)),
+    "q_safety_of_drug": (_about("safety_profile", drug_name=DRUG), with_views(SAFETY_OF_DRUG, **GOLD_SQL)),
     "layout_on_curve": (_on_curve, "SELECT * FROM lineitem"),
     "kept_prefix": (_prefixes, _prefix_sql()),
     "match_values": (_matched, MATCH_SQL),

@@ -85,6 +85,16 @@ TYPED_SQL = " UNION ALL ".join(
 )
 
 
+SUMMARY_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", type_class, CASE WHEN '{c}' = 'serious' THEN 'target' ELSE 'feature' END AS role, (SELECT count(DISTINCT {c}) FROM b_events) AS n_values
+FROM ({TYPED_SQL}) WHERE "column" = '{c}'"""
+    for c in (
+        "l_orderkey", "l_partkey", "l_linenumber", "patient_id", "trial_id", "drug_name", "concomitant_drug", "ae_type", "severity",
+        "serious", "outcome", "dosage_mg", "risk_score", "drug_interaction_flag", "onset_date", "days_on_treatment",
+    )
+)
+
+
 def _histograms(spark: SparkSession, d: str) -> DataFrame:
     return rounded(profile.histogram_by_class(_events(spark, d), NUMBERS, "serious"), 9, "lower", "upper", "density")
 
@@ -193,6 +203,7 @@ QUERIES = {
     "histogram_by_class": (_histograms, with_views(" UNION ALL ".join(map(_histogram_sql, NUMBERS)))),
     "signal_check_by_severity": (_signal, with_views(SIGNAL_SQL)),
     "feature_summary": (lambda s, d: profile.feature_summary(_events(s, d), "serious"), None),
+    "feature_summary_exact": (lambda s, d: profile.feature_summary(_events(s, d), "serious", exact=True), with_views(SUMMARY_SQL)),
     "columns_by_type": (_typed, with_views(TYPED_SQL)),
     "leakage_screen": (_screen, with_views(SCREEN_SQL)),
     "value_dictionary": (lambda s, d: profile.value_dictionary(view(s, d, "b_results"), DICTIONARY), with_views(DICTIONARY_SQL)),

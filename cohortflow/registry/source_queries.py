@@ -187,6 +187,18 @@ def _applied(spark: SparkSession, d: str) -> DataFrame:
     return snapshots.apply_changes(old, snapshots.snapshot_diff(old, new, ["o_orderkey"])).drop("_copies")
 
 
+#: A row's text that every engine writes alike.
+ROW_TEXT = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
+
+
+def _content(spark: SparkSession, d: str) -> DataFrame:
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in ROW_TEXT])
+    return tables.dataset_fingerprint(table(spark, d, "lineitem"), "lineitem", "l_returnflag", text).drop("schema")
+
+
+CONTENT_SQL = f"""SELECT 'lineitem' AS source, 'l_returnflag' AS target, count(*) AS n_rows,
+  CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {', '.join(ROW_TEXT)})), 1, 15) AS BIGINT)) AS VARCHAR) AS content_hash FROM lineitem"""
+
 QUERIES = {
     "json_roundtrip": (_round_trip, EVENTS_SQL),
     "ingest_json_stream": (_stream, EVENTS_SQL),
@@ -214,5 +226,6 @@ FROM (DESCRIBE events)""",
 UNION ALL SELECT 'supplier', column_name FROM (DESCRIBE supplier)""",
     ),
     "missing_tables": (_absent, """SELECT DISTINCT 'orders' AS "table" FROM orders"""),
+    "content_fingerprint": (_content, CONTENT_SQL),
     "dataset_fingerprint": (lambda s, d: tables.dataset_fingerprint(table(s, d, "lineitem"), "lineitem", "l_returnflag"), None),
 }

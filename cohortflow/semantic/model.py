@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, functions as F
 
@@ -111,11 +111,22 @@ class SemanticModel:
         return text
 
     def answer(
-        self, spark: SparkSession, name: str, tables: Mapping[str, DataFrame], args: Mapping[str, object] | None = None
+        self,
+        spark: SparkSession,
+        name: str,
+        tables: Mapping[str, DataFrame],
+        args: Mapping[str, object] | None = None,
+        only: Mapping[str, object] | None = None,
     ) -> DataFrame:
-        """Run a question. Parameters are bound as values and never become part of the SQL text."""
-        question = self.question(name)
-        bound = {**question.defaults, **(args or {})}
+        """Run a question. Parameters are bound as values and never become part of the SQL text.
+
+        ``only`` narrows it to values of dictionary columns of its table, such as one drug.
+        """
+        question, only = self.question(name), dict(only or {})
+        if unknown := set(only) - set(self.dictionary_columns[question.source] if only else ()):
+            raise KeyError(f"{sorted(unknown)} are no dictionary columns of {question.source}")
+        question = replace(question, where=(*question.where, *(f"{c} = :only_{c}" for c in only)))
+        bound = {**question.defaults, **(args or {}), **{f"only_{c}": v for c, v in only.items()}}
         return spark.sql(self.sql(question), args=bound or None, **{question.source: tables[question.source]})
 
     def inventory(self, spark: SparkSession) -> DataFrame:

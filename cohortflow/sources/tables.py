@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cohortflow.plans.layout import cluster_on_curve, cluster_rows
 
@@ -108,9 +108,12 @@ def missing_tables(spark: SparkSession, database: str, expected: Sequence[str])
     return wanted.join(catalog_tables(spark, database), "table", "left_anti")
 
 
-def dataset_fingerprint(df: DataFrame, source: str, target: str | None = None) -> DataFrame:
-    """One provenance row: source, target, schema, row count and an order-free content hash."""
-    row_hash = F.xxhash64(*df.columns).cast("decimal(20,0)")
+def dataset_fingerprint(df: DataFrame, source: str, target: str | None = None, content: Column | None = None) -> DataFrame:
+    """One provenance row: source, target, schema, row count and an order-free content hash.
+
+    With ``content``, a text of each row, the hash is one that other engines can check: the sum of the first 60 bits of its MD5.
+    """
+    row_hash = F.xxhash64(*df.columns).cast("decimal(20,0)") if content is None else F.conv(F.substring(F.md5(content), 1, 15), 16, 10).cast("decimal(20,0)")
     return df.agg(F.count("*").alias("n_rows"), F.sum(row_hash).cast("string").alias("content_hash")).select(
         F.lit(source).alias("source"),
         F.lit(target).alias("target"),

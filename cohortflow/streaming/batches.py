@@ -6,12 +6,14 @@ take the rows of the batches that the ledger has, so a batch that died half-way
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cohortflow.clinical.silver import SilverTable, to_silver, typed_columns
 from cohortflow.operators.quality import quality_report
+from cohortflow.plans.incremental import StateTable
 from cohortflow.plans.lineage import broadcast_if_small
 from cohortflow.sources.tables import read_parquet
 
@@ -21,15 +23,22 @@ COUNTS = "rule string, action string, passed long, failed long, dropped long, ba
 
 @dataclass(frozen=True)
 class SilverBatches:
-    """``root`` is a shared folder that holds the rows, the ledger and the stream's own marks of one silver table."""
+    """``root`` is a shared folder that holds the rows, the ledger and the stream's own marks of one silver table.
+
+    ``states`` are grouped reports that every batch of silver rows is added to, under the batch's number.
+    """
 
     spark: SparkSession
     root: str
     table: SilverTable
+    states: Sequence[StateTable] = ()
 
     def write(self, batch: DataFrame, number: int) -> None:
-        """One micro-batch of bronze rows: its silver rows, then its counts."""
-        to_silver(batch, self.table).write.mode("overwrite").parquet(f"{self.root}/rows/{BATCH}={number}")
+        """One micro-batch of bronze rows: its silver rows, the reports they change, then its counts."""
+        silver, path = to_silver(batch, self.table), f"{self.root}/rows/{BATCH}={number}"
+        silver.write.mode("overwrite").parquet(path)
+        for state in self.states:
+            state.add(number, self.spark.read.schema(silver.schema).parquet(path))
         counts = quality_report(typed_columns(batch, self.table), self.table.rules)
         counts.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/ledger/{BATCH}={number}")
 

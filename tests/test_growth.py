@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from cohortflow.clinical.silver import ADVERSE_EVENTS, SILVER_TABLES, to_silver
+from cohortflow.config import JobConfig
 from cohortflow.plans import medallion
 from cohortflow.plans.incremental import GroupState, StateTable, sign_of, touched
 from cohortflow.plans.layout import cluster_on_curve
+from cohortflow.plans.model_job import ModelJob
 from cohortflow.registry.gold_queries import raw_rows
 from cohortflow.sources import tables
 from cohortflow.sources.snapshots import snapshot_diff
@@ -49,6 +51,16 @@ def test_a_batch_without_a_ledger_entry_is_not_seen(spark, tmp_path, bronze):
     assert silver.rows(kept.schema).count() == kept.count()
 
 
+def test_a_batch_also_brings_the_reports_up_to_date(spark, tmp_path, bronze, rows):
+    state = GroupState(("trial_id",), "n", {"serious": F.col("serious")}, {"risk": ("risk_score", 2)})
+    report = StateTable.at(to_silver(bronze, ADVERSE_EVENTS), str(tmp_path / "gold"), state)
+    silver = SilverBatches(spark, str(tmp_path / "s"), ADVERSE_EVENTS, (report,))
+    for number, part in enumerate(("days_on_treatment <= 60", "days_on_treatment > 60")):
+        silver.write(bronze.filter(part), number)
+    silver.write(bronze.filter("days_on_treatment > 60"), 1)
+    assert rows(report.report()) == rows(state.report(state.of(to_silver(bronze, ADVERSE_EVENTS))))
+
+
 def plain_state():
     return GroupState(("k",), "n", {"big": F.col("v") > 5}, {"mean": ("v", 2)})
 
@@ -170,3 +182,35 @@ def test_curve_with_hot_values_and_nulls(spark):
     laid = cluster_on_curve(hot, ["a", "b"], partitions=8).withColumn("part", F.spark_partition_id())
     sizes = [r["count"] for r in laid.groupBy("part").count().collect()]
     assert sum(sizes) == 30_000 and max(sizes) < 12_000 and laid.filter("a IS NULL").count() == 0
+
+
+def test_the_layered_run_takes_its_parameters_from_the_session(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    for t in SILVER_TABLES:
+        (src / f"{t.entity}.json").write_text("\n".join(raw_rows(spark, SF, f"raw_{t.entity}").limit(200).toJSON().collect()))
+    values = {"database": "from_session", "source_dir": str(src), "work_dir": str(tmp_path / "work"), "seed": "7"}
+    for name, value in values.items():
+        spark.conf.set(f"cohortflow.{name}", value)
+    try:
+        assert medallion.run_layers(spark).count() == 0
+        assert ModelJob.of(JobConfig.from_session(spark), "m", "silver_adverse_events").source == "from_session.silver_adverse_events"
+    finally:
+        for name in values:
+            spark.conf.unset(f"cohortflow.{name}")
+    comments = {r["column"]: r["comment"] for r in tables.column_comments(spark.read.table("from_session.gold_drug_efficacy")).collect()}
+    assert comments["phase"] == "Phase I to Phase IV" and comments["total_observations"] is None
+    tables.reset_database(spark, "from_session", allow_drop=True)
+
+
+def test_publishing_never_removes_the_table(spark, tmp_path):
+    tables.reset_database(spark, "steady", allow_drop=True)
+    tables.materialize(spark.range(5), "steady.t", ["id"], "Five rows")
+    reader = spark.read.table("steady.t")
+    old = reader.inputFiles()
+    tables.materialize(spark.range(9), "steady.t", ["id"], "Nine rows")
+    assert spark.read.table("steady.t").count() == 9 and not {*old} & {*spark.read.table("steady.t").inputFiles()}
+    assert reader.count() in (5, 9)  # the version before is still there for those who read it
+    wider = tables.materialize(spark.range(3).withColumn("x", F.lit(1)), "steady.t")
+    assert wider.columns == ["id", "x"] and wider.count() == 3
+    tables.reset_database(spark, "steady", allow_drop=True)

@@ -1,3 +1,5 @@
+import pytest
+
 from cohortflow.clinical.vocabulary import ONCOLOGY
 from cohortflow.semantic.clinical import EFFICACY, OUTCOMES, SAFETY, clinical_model
 from cohortflow.semantic.model import Question, SemanticModel, resolve_terms, smoke_report
@@ -54,3 +56,11 @@ def test_inventory(spark):
     assert counts["joins"] == 2 and counts["tables"] == 3 and counts["questions"] == 8 and counts["rephrased questions"] == 6
     assert sum(len(c) for c in MODEL.dictionary_columns.values()) == 19
     assert {t for t in MODEL.comments} == {OUTCOMES, EFFICACY, SAFETY}
+
+
+def test_a_question_narrowed_to_one_value(spark, rows):
+    tables = {EFFICACY: efficacy(spark)}
+    assert rows(MODEL.answer(spark, "orr_by_drug_arm", tables, only={"drug_name": "D"}), "treatment_arm") == [("Drug",), ("Placebo",)]
+    assert MODEL.answer(spark, "orr_by_drug_arm", tables, only={"drug_name": "D' OR '1' = '1"}).count() == 0
+    with pytest.raises(KeyError, match="total_observations"):
+        MODEL.answer(spark, "orr_by_drug_arm", tables, only={"total_observations": 3})
