@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 
 def infer_schema(
-    spark: SparkSession, path: str, name_glob: str | None = None, multi_line: bool = True, sampling_ratio: float = 1.0
+    spark: SparkSession,
+    path: str,
+    name_glob: str | None = None,
+    multi_line: bool = True,
+    sampling_ratio: float = 1.0,
+    modified_after: datetime | None = None,
 ) -> T.StructType:
     """Typed schema of JSON files, to be stored (``schema.json()``) and given to every later stream.
 
-    ``sampling_ratio`` below 1 infers from a share of the records; reading itself stays complete.
+    ``sampling_ratio`` below 1 infers from a share of the records; reading itself stays complete. ``modified_after`` looks at
+    newer files only.
     """
     reader = spark.read.option("multiLine", multi_line).option("samplingRatio", sampling_ratio)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
     return reader.json(path).schema
 
 

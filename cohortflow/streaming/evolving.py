@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cohortflow.sources.json_files import infer_schema
@@ -16,12 +18,14 @@ from cohortflow.sources.tables import read_parquet
 from cohortflow.streaming.ingest import BAD_RECORD, INGESTED_AT, append_to_path, append_to_table
 
 RESCUED = "_rescued_fields"
-VERSIONS = "version int, schema string"
+VERSIONS = "version int, schema string, at timestamp"
+#: Files this much older than the last look are looked at once more: clocks of file systems are coarse.
+OVERLAP = timedelta(seconds=5)
 
 
 def stored_schema(spark: SparkSession, path: str) -> tuple[int, T.StructType | None]:
     """The newest version below ``path`` and its schema; version 0 if there is none."""
-    row = read_parquet(spark, path, VERSIONS).orderBy(F.desc("version")).first()
+    row = read_parquet(spark, path, VERSIONS).orderBy(F.desc("version"), F.desc("at")).first()
     return (row["version"], T.StructType.fromJson(json.loads(row["schema"]))) if row else (0, None)
 
 
@@ -34,12 +38,23 @@ def merged_schema(known: T.StructType | None, found: T.StructType) -> T.StructTy
 
 
 def grown_schema(spark: SparkSession, source_dir: str, versions: str, name_glob: str | None = None) -> T.StructType:
-    """The schema to read with; a new version is stored if the files brought new fields."""
+    """The schema to read with: only files newer than the last look are inferred, and new fields make a new version.
+
+    Every look is stored with its time, so the next one knows where to begin.
+    """
+    began = datetime.now(timezone.utc)
     number, known = stored_schema(spark, versions)
-    found = infer_schema(spark, source_dir, name_glob, multi_line=False)
+    last = read_parquet(spark, versions, VERSIONS).agg(F.unix_micros(F.max("at"))).first()[0]
+    after = datetime.fromtimestamp(last / 1e6, timezone.utc) - OVERLAP if last else None
+    try:
+        found = infer_schema(spark, source_dir, name_glob, multi_line=False, modified_after=after)
+    except AnalysisException as error:
+        if known is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return known  # no newer file
     merged = merged_schema(known, T.StructType([f for f in found.fields if f.name != BAD_RECORD]))
-    if merged != known:
-        spark.createDataFrame([(number + 1, merged.json())], VERSIONS).coalesce(1).write.mode("append").parquet(versions)
+    row = (number + (merged != known), merged.json(), began)
+    spark.createDataFrame([row], VERSIONS).coalesce(1).write.mode("append").parquet(versions)
     return merged
 
 

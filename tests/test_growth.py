@@ -1,6 +1,7 @@
 """Tables that grow batch by batch, schemas that change, layouts on a curve."""
 
 import json
+import os
 from decimal import Decimal
 
 import pytest
@@ -138,6 +139,20 @@ def test_a_schema_grows_and_keeps_its_types(spark, tmp_path, rows):
     assert merged_schema(None, schema) == schema
 
 
+def test_only_newer_files_are_looked_at(spark, tmp_path):
+    src, versions = tmp_path / "in", str(tmp_path / "v")
+    src.mkdir()
+    (src / "a.json").write_text('{"id": 1}\n')
+    assert grown_schema(spark, str(src), versions).names == ["id"]
+    (src / "old.json").write_text('{"id": 2, "unseen": 1}\n')
+    os.utime(src / "old.json", (1, 1))
+    os.utime(src / "a.json", (1, 1))
+    assert grown_schema(spark, str(src), versions).names == ["id"]  # no newer file
+    (src / "b.json").write_text('{"city": "x"}\n')
+    assert grown_schema(spark, str(src), versions).names == ["id", "city"]
+    assert stored_schema(spark, versions)[0] == 2
+
+
 def test_layers_with_growing_files(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
