@@ -16,6 +16,8 @@ from cohortflow.plans.lineage import BROADCAST_ROWS
 GROUP_ROWS = 20_000
 #: Steps of at most two documents that correct a group's rounding.
 FLIPS = 50
+#: Share of a group's words up to which its rounding may be off while copies stay next to their rates.
+NEAR = 0.002
 
 
 def capped_shares(sizes: Sequence[int], weights: Sequence[float], total: float, most: float = 2.0) -> list[float]:
@@ -85,18 +87,19 @@ def entropy_balance(cells: DataFrame, mass: str, targets: Mapping[str, Mapping],
     return {c: {k: (float(m[place[c, k]]) if (c, k) in place else float("-inf")) for k in targets[c]} for c in columns}
 
 
-def _nearest_flips(sizes: np.ndarray, up: np.ndarray, error: float) -> list[int]:
-    """Places of one or two documents whose rounding the other way brings ``error`` (words still wanted) nearest to 0; none if nothing helps.
+def _nearest_flips(sizes: np.ndarray, more: np.ndarray, less: np.ndarray, error: float) -> tuple[list[int], list[int]]:
+    """Places of a document to take once more and of one to take once less that bring ``error`` (words still wanted) nearest to 0; one, both or
+    none.
 
-    ``up``: may take one copy more, +size words; the others may take one less. Pairs are one of each, found by bisection.
+    ``more``, ``less``: the places that may change so. Pairs are found by bisection.
     """
-    more, less = np.flatnonzero(up), np.flatnonzero(~up)
-    best, chosen = abs(error), []
+    best, chosen = abs(error), ([], [])
     for places, sign in ((more, 1), (less, -1)):
         if len(places):
             rest = np.abs(error - sign * sizes[places])
             if rest.min() < best:
-                best, chosen = float(rest.min()), [int(places[rest.argmin()])]
+                best, one = float(rest.min()), [int(places[rest.argmin()])]
+                chosen = (one, []) if sign > 0 else ([], one)
     if len(more) and len(less):
         by_size = less[np.argsort(sizes[less], kind="stable")]
         at = np.searchsorted(sizes[by_size], sizes[more] - error)
@@ -104,29 +107,31 @@ def _nearest_flips(sizes: np.ndarray, up: np.ndarray, error: float) -> list[int]
             other = by_size[np.clip(at - shift, 0, len(by_size) - 1)]
             rest = np.abs(error - sizes[more] + sizes[other])
             if rest.min() < best:
-                best, chosen = float(rest.min()), [int(more[rest.argmin()]), int(other[rest.argmin()])]
+                best, chosen = float(rest.min()), ([int(more[rest.argmin()])], [int(other[rest.argmin()])])
     return chosen
 
 
-def _round_group(rows: pa.Table) -> pa.Table:
+def _rounded(sizes: np.ndarray, rates: np.ndarray, most: float) -> np.ndarray:
     """Whole copies next to each rate, from the largest document down: each takes the error so far into account. Then single documents and pairs
-    are rounded the other way as long as that brings the group's words nearer to its share."""
-    order = rows.sort_by([("size", "descending"), ("_order", "ascending")]).select(["_row", "size", "rate"])
-    sizes, rates = order["size"].to_numpy(), order["rate"].to_numpy()
+    are rounded the other way as long as that brings the words nearer to their share; if that is still far off, as where there are few
+    documents, copies may leave their rate's neighbours."""
     error, copies = 0.0, np.zeros(len(sizes), np.int64)
     for at, (size, rate) in enumerate(zip(sizes.tolist(), rates.tolist(), strict=True)):
         wanted = rate + (error / size if size else 0.0)
         copies[at] = min(max(round(wanted), math.floor(rate)), math.ceil(rate))
         error += (rate - copies[at]) * size
-    free = np.flatnonzero((np.floor(rates) < np.ceil(rates)) & (sizes > 0))
-    for _ in range(FLIPS):
-        flips = free[_nearest_flips(sizes[free], copies[free] < rates[free], error)]
-        if not len(flips):
-            break
-        steps = np.where(copies[flips] < rates[flips], 1, -1)
-        copies[flips] += steps
-        error -= float((steps * sizes[flips]).sum())
-    return pa.table({"_row": order["_row"], "copies": copies})
+    near = NEAR * float((rates * sizes).sum())
+    for low, high, enough in ((np.floor(rates), np.ceil(rates), 0.0), (0, math.floor(most), near)):
+        for _ in range(FLIPS):
+            if abs(error) <= enough:
+                break
+            up, down = _nearest_flips(sizes, np.flatnonzero((copies < high) & (sizes > 0)), np.flatnonzero((copies > low) & (sizes > 0)), error)
+            if not up and not down:
+                break
+            copies[up] += 1
+            copies[down] -= 1
+            error += float(sizes[down].sum() - sizes[up].sum())
+    return copies
 
 
 def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), total: float = 1.5, most: float = 2.0, text: str = "text", source: str = "source") -> DataFrame:
@@ -163,7 +168,12 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), total: fl
     rated = rows.join(rates, "_source").withColumn("_group", F.pmod(F.col("_order"), groups))
     round_in = rated.select("_source", "_group", "size", "rate", "_order", F.struct("_rest", "source_size", "target", "rate", "size").alias("_row"))
     kind = round_in.schema["_row"].dataType.simpleString()
-    rounded = round_in.groupBy("_source", "_group").applyInArrow(_round_group, f"_row {kind}, copies long")
+
+    def round_group(rows: pa.Table) -> pa.Table:
+        order = rows.sort_by([("size", "descending"), ("_order", "ascending")]).select(["_row", "size", "rate"])
+        return pa.table({"_row": order["_row"], "copies": _rounded(order["size"].to_numpy(), order["rate"].to_numpy(), most)})
+
+    rounded = round_in.groupBy("_source", "_group").applyInArrow(round_group, f"_row {kind}, copies long")
     return rounded.select(
         *[F.col("_row")["_rest"][c].alias(c) for c in rest],
         *[F.col("_row")[c].alias(c) for c in ("size", "source_size", "target", "rate")],

@@ -268,15 +268,15 @@ def test_mixed_sizes_are_the_words_of_the_texts(spark):
 
 
 def test_rounding_flips_reach_the_share():
-    import pyarrow as pa
-
     rng = np.random.default_rng(6)
-    for n in (1, 2, 5, 40, 400):
-        sizes, rate = rng.integers(1, 3000, n), float(rng.uniform(0, 2))
-        group = pa.table({"_row": pa.array(range(n)), "size": pa.array(sizes), "rate": pa.array(np.full(n, rate)), "_order": pa.array(rng.permutation(n))})
-        out = source_mix._round_group(group)
-        by_row = dict(zip(out["_row"].to_pylist(), out["copies"].to_pylist(), strict=True))
-        taken = sum(by_row[i] * int(s) for i, s in enumerate(sizes))
-        assert all(int(rate) <= c <= int(np.ceil(rate)) for c in by_row.values())
+    for n in (1, 2, 5, 12, 40, 400):
+        sizes, rate = np.sort(rng.integers(1, 3000, n))[::-1], float(rng.uniform(0, 2))
+        copies = source_mix._rounded(sizes, np.full(n, rate), 2.0)
+        off, exact = abs(int((copies * sizes).sum()) - rate * sizes.sum()), rate * sizes.sum()
+        assert copies.min() >= 0 and copies.max() <= 2
         if n >= 40:
-            assert abs(taken - rate * sizes.sum()) < 5
+            assert off < (5 if n >= 400 else 20) and copies.min() >= int(rate) and copies.max() <= int(np.ceil(rate))
+        if n >= 12:
+            assert off <= max(20, 0.01 * exact)
+    assert source_mix._rounded(np.zeros(0, int), np.zeros(0), 2.0).tolist() == []
+    assert source_mix._rounded(np.array([0, 0]), np.array([0.5, 1.5]), 2.0).max() <= 2
