@@ -18,6 +18,8 @@ GROUP_ROWS = 20_000
 FLIPS = 50
 #: Share of a group's words up to which its rounding may be off while copies stay next to their rates.
 NEAR = 0.002
+#: Documents, and words of all their copies, up to which the nearest reachable sum is found exactly if flips do not come near.
+FEW, FEW_WORDS = 64, 1 << 20
 
 
 def capped_shares(sizes: Sequence[int], weights: Sequence[float], total: float, most: float = 2.0) -> list[float]:
@@ -111,6 +113,27 @@ def _nearest_flips(sizes: np.ndarray, more: np.ndarray, less: np.ndarray, error:
     return chosen
 
 
+def _nearest_sum(sizes: list[int], rates: list[float], wanted: float, most: int) -> list[int]:
+    """Copies from 0 to ``most`` of each document whose words come nearest to ``wanted``; of several choices, copies near the rates.
+
+    The reachable sums are bits of a number, one number per document, so this is for few documents with few words.
+    """
+    reach = [1]
+    for size in sizes:
+        bits = reach[-1]
+        for k in range(1, most + 1):
+            bits |= reach[-1] << k * size
+        reach.append(bits)
+    base, last = int(wanted), reach[-1].bit_length()
+    near = (n for d in range(max(base, last) + 1) for n in sorted({base - d, base + d + 1}, key=lambda n: abs(n - wanted)) if 0 <= n < last and reach[-1] >> n & 1)
+    left, copies = next(near), [0] * len(sizes)
+    for at in range(len(sizes) - 1, -1, -1):
+        fits = [k for k in range(most + 1) if k * sizes[at] <= left and reach[at] >> (left - k * sizes[at]) & 1]
+        copies[at] = min(fits, key=lambda k: abs(k - rates[at]))
+        left -= copies[at] * sizes[at]
+    return copies
+
+
 def _rounded(sizes: np.ndarray, rates: np.ndarray, most: float) -> np.ndarray:
     """Whole copies next to each rate, from the largest document down: each takes the error so far into account. Then single documents and pairs
     are rounded the other way as long as that brings the words nearer to their share; if that is still far off, as where there are few
@@ -131,6 +154,8 @@ def _rounded(sizes: np.ndarray, rates: np.ndarray, most: float) -> np.ndarray:
             copies[up] += 1
             copies[down] -= 1
             error += float(sizes[down].sum() - sizes[up].sum())
+    if abs(error) > near and len(sizes) <= FEW and math.floor(most) * int(sizes.sum()) <= FEW_WORDS:
+        return np.array(_nearest_sum(sizes.tolist(), rates.tolist(), float((rates * sizes).sum()), math.floor(most)), np.int64)
     return copies
 
 

@@ -280,3 +280,15 @@ def test_rounding_flips_reach_the_share():
             assert off <= max(20, 0.01 * exact)
     assert source_mix._rounded(np.zeros(0, int), np.zeros(0), 2.0).tolist() == []
     assert source_mix._rounded(np.array([0, 0]), np.array([0.5, 1.5]), 2.0).max() <= 2
+
+
+def test_the_nearest_sum_equals_all_choices():
+    import itertools
+
+    rng = random.Random(9)
+    for _ in range(60):
+        sizes = [rng.randrange(0, 60) for _ in range(rng.randrange(1, 6))]
+        wanted = rng.uniform(0, 2.2 * sum(sizes))
+        found = source_mix._nearest_sum(sizes, [1.2] * len(sizes), wanted, 2)
+        best = min(abs(sum(c * s for c, s in zip(cs, sizes, strict=True)) - wanted) for cs in itertools.product(range(3), repeat=len(sizes)))
+        assert abs(abs(sum(c * s for c, s in zip(found, sizes, strict=True)) - wanted) - best) < 1e-9

@@ -94,7 +94,11 @@ def test_the_mix_counts_words_and_meets_targets(chain):
     for name, target in zip(names, targets, strict=True):
         rows = by_source[name]
         assert abs(rows[0]["target"] - target) < 1e-6 * max(target, 1)
-        assert abs(sum(r["taken"] for r in rows) - target) <= max(20, 0.01 * target)
+        reachable = 1  # bit n: some choice of 0, 1 or 2 copies of each document takes n words
+        for r in rows:
+            reachable |= reachable << r["size"] | reachable << 2 * r["size"]
+        best = min(abs(n - target) for n in range(reachable.bit_length()) if reachable >> n & 1)
+        assert abs(sum(r["taken"] for r in rows) - target) <= max(20, 0.01 * target, 1.5 * best)
         assert all(r["taken"] <= 2 * r["size"] for r in rows)
 
 
