@@ -42,7 +42,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("decontamination", decontamination),
     ("mix", mix),
 ]
-#: No SQL: a learnt model decides in the first stage. The stages are tested against brute force.
+#: No SQL: a learnt model decides in the first stage. tests/llm/test_pipeline.py holds the stages against plain code.
 ORACLE_SQL = None
 
 
