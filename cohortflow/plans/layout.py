@@ -34,27 +34,36 @@ def _as_number(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("timestamp").cast("double") if kind.startswith("timestamp") else F.col(column).cast("double")
 
 
-def _range_rank(value: Column, edges: Sequence[float]) -> Column:
-    """How many of the edges lie at or below the value; 0 for nulls."""
-    if not edges:
-        return F.lit(0).cast("long")
-    below = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda edge: edge <= value))
-    return F.when(value.isNull(), 0).otherwise(below).cast("long")
+def _with_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with ``_rank0``, ``_rank1``, ...: how many of a column's range edges lie at or below the value; 0 for nulls.
 
-
-def curve_position(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Place on a space-filling curve: the bits of the columns' range ranks in turn. Nulls have rank 0.
-
-    The ranks' edges are approximate quantiles, one pass for all columns, so each column is cut into ranges of like size whatever its values.
+    The edges are approximate quantiles, one pass for all columns, so each column is cut into ranges of like size whatever its values. They are
+    searched by halves, a look-up per bit: each step is a column of its own, which the next ones read and do not repeat.
     """
     shares = [k / (1 << RANK_BITS) for k in range(1, 1 << RANK_BITS)]
     found = df.agg(*[F.percentile_approx(_as_number(df, c), shares, 2000).alias(f"q{n}") for n, c in enumerate(columns)]).first()
+    numbers = df.withColumns({f"_number{n}": _as_number(df, c) for n, c in enumerate(columns)})
+    ranks = numbers.withColumns({f"_rank{n}": F.lit(0).cast("long") for n in range(len(columns))})
+    edges = [sorted(set(found[f"q{n}"] or []), key=lambda e: (e != e, e)) for n in range(len(columns))]  # NaN is the largest, as in Spark
+    padded = [F.array(*[F.lit(e) for e in own], *[F.lit(None).cast("double")] * (len(shares) - len(own))) for own in edges]
+    for bit in reversed(range(RANK_BITS)):
+        step = 1 << bit
+
+        def raised(n: int, step: int = step) -> Column:
+            rank = F.col(f"_rank{n}")
+            return rank + F.when(F.get(padded[n], (rank + (step - 1)).cast("int")) <= F.col(f"_number{n}"), step).otherwise(0)
+
+        ranks = ranks.withColumns({f"_rank{n}": raised(n) for n in range(len(columns))})
+    return ranks.drop(*[f"_number{n}" for n in range(len(columns))])
+
+
+def with_curve_position(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with ``_curve``, the place on a space-filling curve: the bits of the columns' range ranks in turn. Nulls have rank 0."""
     position = F.lit(0).cast("long")
-    for n, c in enumerate(columns):
-        rank = _range_rank(_as_number(df, c), sorted(set(found[f"q{n}"] or [])))
+    for n in range(len(columns)):
         for bit in range(RANK_BITS):
-            position = position.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("long")), bit * len(columns) + n))
-    return position
+            position = position.bitwiseOR(F.shiftleft(F.shiftright(F.col(f"_rank{n}"), bit).bitwiseAND(F.lit(1).cast("long")), bit * len(columns) + n))
+    return _with_ranks(df, columns).withColumn("_curve", position).drop(*[f"_rank{n}" for n in range(len(columns))])
 
 
 def cluster_on_curve(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -62,7 +71,7 @@ def cluster_on_curve(df: DataFrame, columns: Sequence[str], partitions: int | No
 
     As in ``cluster_rows``, the input task closes the range key, so that rows of one hot place fill several files.
     """
-    tagged = df.withColumn("_curve", curve_position(df, columns)).withColumn("_source_task", F.spark_partition_id())
+    tagged = with_curve_position(df, columns).withColumn("_source_task", F.spark_partition_id())
     keys = ["_curve", "_source_task"]
     ranged = tagged.repartitionByRange(partitions, *keys) if partitions else tagged.repartitionByRange(*keys)
     return ranged.sortWithinPartitions("_curve").drop(*keys)

@@ -11,7 +11,7 @@ from cohortflow.clinical.silver import ADVERSE_EVENTS, SILVER_TABLES, to_silver
 from cohortflow.config import JobConfig
 from cohortflow.plans import medallion
 from cohortflow.plans.incremental import GroupState, StateTable, sign_of, touched
-from cohortflow.plans.layout import cluster_on_curve
+from cohortflow.plans.layout import cluster_on_curve, with_curve_position
 from cohortflow.plans.model_job import ModelJob
 from cohortflow.registry.gold_queries import raw_rows
 from cohortflow.sources import tables
@@ -199,6 +199,20 @@ def test_curve_with_hot_values_and_nulls(spark):
     assert sum(sizes) == 30_000 and max(sizes) < 12_000 and laid.filter("a IS NULL").count() == 0
 
 
+def test_curve_places_are_the_bits_of_the_ranks_and_no_row_walks_all_edges(spark):
+    value = F.when(F.col("id") % 7 > 0, F.when(F.col("id") % 11 == 0, float("nan")).otherwise((F.col("id") * 37 % 101).cast("double")))
+    rows = spark.range(0, 2000, 1, 1).select("id", value.alias("a"), F.lit(5).alias("b"), F.lit(None).cast("int").alias("c"))
+    placed = with_curve_position(rows, ["a", "b", "c"])
+    assert placed.columns == ["id", "a", "b", "c", "_curve"]
+    assert "lambda" not in placed._jdf.queryExecution().executedPlan().toString()
+    edges = rows.agg(F.percentile_approx("a", [k / 256 for k in range(1, 256)], 2000)).first()[0]
+    edges = [float("inf") if e != e else e for e in {*edges}]  # no value is infinite here, so it may stand for NaN
+    for r in placed.collect():
+        a = float("inf") if r["a"] is not None and r["a"] != r["a"] else r["a"]
+        ranks = [0 if a is None else sum(e <= a for e in edges), 1, 0]
+        assert r["_curve"] == sum((rank >> bit & 1) << (bit * 3 + n) for n, rank in enumerate(ranks) for bit in range(8))
+
+
 def test_the_layered_run_takes_its_parameters_from_the_session(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
