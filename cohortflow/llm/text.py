@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortflow.plans.lineage import scratch_path
+from cohortflow.plans.lineage import stored as stored
 
 #: ASCII white space, the separators of words.
 SPACES = " \t\n\x0b\f\r"
@@ -30,17 +30,6 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string")) % modulus
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as Parquet below the shared checkpoint folder and read it back.
-
-    This cuts the lineage like ``checkpoint()`` does, with compressed columns: later passes read only what they need,
-    and a lost executor costs a re-read.
-    """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into runs of whole rows with about ``max_bytes`` of text, to bound a task's working memory."""
     for batch in batches:

@@ -11,6 +11,7 @@ from cohortflow.clinical import gold
 from cohortflow.clinical.silver import SILVER_TABLES, to_silver, typed_columns
 from cohortflow.config import JobConfig
 from cohortflow.operators.quality import quality_report
+from cohortflow.plans.lineage import stored
 from cohortflow.semantic.clinical import clinical_model
 from cohortflow.sources.tables import materialize, missing_tables, reset_database
 from cohortflow.streaming.batches import SilverBatches
@@ -103,11 +104,14 @@ def gold_frames(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def refresh_gold(spark: SparkSession, database: str) -> None:
-    """Recompute the gold tables from silver, with the governed model's column descriptions."""
+    """Recompute the gold tables from silver, with the governed model's column descriptions.
+
+    Laying a table out reads its rows three times (edges, ranges, rows), so they are joined and grouped once and stored before that.
+    """
     described = clinical_model().comments
     frames = gold_frames({t.entity: spark.read.table(f"{database}.{t.name}") for t in SILVER_TABLES})
     for table in (gold.SAFETY, gold.OUTCOMES, gold.EFFICACY):
-        materialize(frames[table.name], f"{database}.{table.name}", table.cluster_by, table.comment, column_comments=described.get(table.name))
+        materialize(stored(frames[table.name], table.name), f"{database}.{table.name}", table.cluster_by, table.comment, column_comments=described.get(table.name))
 
 
 def run_layers(spark: SparkSession, config: JobConfig | None = None) -> DataFrame:

@@ -32,7 +32,7 @@ def _events_in_batches(spark: SparkSession, d: str) -> tuple[SilverBatches, Data
     silver = SilverBatches(spark, root, ADVERSE_EVENTS)
     for part in ("days_on_treatment <= 90", "days_on_treatment > 90"):
         json_files.write_json(raw.filter(part), f"{source}/{len(part)}")
-        stream = json_stream(spark, f"{source}/*", raw.schema, "*.json", multi_line=False)
+        stream = json_stream(spark, f"{source}/*", raw.schema, "*.json.gz", multi_line=False)
         append_to_path(stream, bronze, f"{root}/files").awaitTermination()
         silver.update(spark.readStream.schema(spark.read.parquet(bronze).schema).parquet(bronze))
     return silver, raw

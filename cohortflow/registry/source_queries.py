@@ -33,16 +33,16 @@ def _round_trip(spark: SparkSession, d: str) -> DataFrame:
 def _stream(spark: SparkSession, d: str) -> DataFrame:
     """All files, then a second run that finds nothing new."""
     path, _ = _events_as_json(spark, d)
-    schema = json_files.infer_schema(spark, path, "*.json", multi_line=False)
+    schema = json_files.infer_schema(spark, path, "*.json.gz", multi_line=False)
     target, marks = scratch_path(spark, "bronze"), scratch_path(spark, "marks")
     for _ in range(2):
-        bronze = ingest_json_stream(spark, path, schema, target, marks, "*.json", multi_line=False)
+        bronze = ingest_json_stream(spark, path, schema, target, marks, "*.json.gz", multi_line=False)
     return bronze.drop(INGESTED_AT)
 
 
 def _schema(spark: SparkSession, d: str) -> DataFrame:
     path, _ = _events_as_json(spark, d)
-    return json_files.schema_as_rows(spark, json_files.infer_schema(spark, path, "*.json", multi_line=False))
+    return json_files.schema_as_rows(spark, json_files.infer_schema(spark, path, "*.json.gz", multi_line=False))
 
 
 #: Every record of these numbers is broken on purpose, one kind with a cut line, the other with a text where a number belongs.
@@ -82,7 +82,7 @@ def _bronze(entity: str):
     def run(spark: SparkSession, d: str) -> DataFrame:
         path, rows = _write_raw(spark, d, entity)
         bronze = ingest_json_stream(
-            spark, path, rows.schema, scratch_path(spark, "bronze"), scratch_path(spark, "marks"), "*.json", multi_line=False
+            spark, path, rows.schema, scratch_path(spark, "bronze"), scratch_path(spark, "marks"), "*.json.gz", multi_line=False
         )
         return bronze.drop(INGESTED_AT, "pre_existing_conditions")
 
@@ -105,7 +105,7 @@ def _run_layers(spark: SparkSession, d: str) -> str:
         {entity: path for entity, (path, _) in written.items()},
         scratch_path(spark, "marks"),
         {entity: rows.schema for entity, (_, rows) in written.items()},
-        name_glob="*.json",
+        name_glob="*.json.gz",
         multi_line=False,
     )
     medallion.refresh_silver(spark, database)

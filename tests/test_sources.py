@@ -10,6 +10,7 @@ from cohortflow.plans import medallion
 from cohortflow.plans.layout import cluster_rows
 from cohortflow.registry.gold_queries import raw_rows
 from cohortflow.sources import tables
+from cohortflow.sources import json_files
 from cohortflow.sources.json_files import infer_schema
 from cohortflow.sources.snapshots import apply_changes, snapshot_diff
 from cohortflow.streaming.ingest import BAD_RECORD, ingest_json_stream
@@ -126,3 +127,27 @@ def test_config_from_session(spark):
     finally:
         spark.conf.unset("cohortflow.seed")
     assert config.seed == 10 and config.table("x") == "default.x" and session_user(spark)
+
+
+def test_written_json_is_compressed_in_bounded_files(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(json_files, "FILE_ROWS", 40)
+    frame = spark.range(0, 100, 1, 1).select("id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("\u00e9\n"), F.col("id"))).alias("t"))
+    path = json_files.write_json(frame, str(tmp_path / "j"))
+    files = sorted((tmp_path / "j").glob("part-*"))
+    assert len(files) == 3 and all(f.name.endswith(".json.gz") for f in files)
+    assert rows(json_files.read_json(spark, path, frame.schema)) == rows(frame)
+    assert infer_schema(spark, path, "*.json.gz", multi_line=False).simpleString() == "struct<id:bigint,t:string>"
+
+
+def test_gold_is_computed_once_before_it_is_laid_out(spark, tmp_path, monkeypatch):
+    tables.reset_database(spark, "once", allow_drop=True)
+    for t in SILVER_TABLES:
+        frame = raw_rows(spark, SF, f"raw_{t.entity}")
+        frame.write.saveAsTable(f"once.{t.name}")
+    seen = {}
+    kept = medallion.materialize
+    monkeypatch.setattr(medallion, "materialize", lambda df, name, *a, **k: (seen.update({name: df._jdf.queryExecution().executedPlan().toString()}), kept(df, name, *a, **k))[1])
+    medallion.refresh_gold(spark, "once")
+    assert len(seen) == 3 and not any("Join" in plan or "Exchange" in plan for plan in seen.values())
+    assert spark.read.table("once.gold_patient_outcomes").count() == spark.read.table("once.silver_trial_results").select("patient_id", "trial_id").distinct().count()
+    tables.reset_database(spark, "once", allow_drop=True)
