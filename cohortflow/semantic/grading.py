@@ -6,7 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from cohortflow.plans.lineage import cut_lineage
+from cohortflow.plans.lineage import cut_lineage, stored_once
 from cohortflow.semantic.model import SemanticModel
 
 MEASURED = ("double", "float", "decimal")
@@ -115,8 +115,10 @@ def grade(actual: DataFrame, expected: DataFrame, tolerance: float = 0.05) -> Da
 def grade_questions(spark: SparkSession, model: SemanticModel, tables: Mapping[str, DataFrame], references: Sequence[tuple[str, str, Mapping]], tolerance: float = 0.05) -> DataFrame:
     """question, correct, missing, surplus, n_rows for every (stored question, reference SQL, parameters).
 
-    The reference names its tables as {placeholders} and its parameters as :markers.
+    The reference names its tables as {placeholders} and its parameters as :markers. Every table is read by an answer and by its reference
+    at least, so each is computed once and stored.
     """
+    tables = stored_once(tables, {model.question(name).source for name, _, _ in references} | {t for _, sql, _ in references for t in tables if f"{{{t}}}" in sql})
     parts = []
     for name, sql, args in references:
         answer = model.answer(spark, name, tables, args)

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, functions as F
 
 from cohortflow.operators.joins import check_many_to_one
+from cohortflow.plans.lineage import stored_once
 
 
 @dataclass(frozen=True)
@@ -157,16 +158,16 @@ class SemanticModel:
 
 
 def phrases(text: Column, longest: int) -> Column:
-    """All runs of 1..``longest`` words of a text, lower case."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
+    """All runs of 1..``longest`` words of a text, lower case. The text is split once: the runs are taken from a variable."""
+    split = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
 
-    def runs_of(n: int) -> Column:
+    def runs_of(words: Column, n: int) -> Column:
         starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(
             F.array().cast("array<int>")
         )
         return F.transform(starts, lambda start: F.array_join(F.slice(words, start, n), " "))
 
-    return F.concat(*[runs_of(n) for n in range(1, longest + 1)])
+    return F.transform(F.array(split), lambda words: F.concat(*[runs_of(words, n) for n in range(1, longest + 1)]))[0]
 
 
 def resolve_terms(asked: DataFrame, text: str, model: SemanticModel) -> DataFrame:
@@ -183,8 +184,10 @@ def resolve_terms(asked: DataFrame, text: str, model: SemanticModel) -> DataFram
 def smoke_report(spark: SparkSession, model: SemanticModel, tables: Mapping[str, DataFrame]) -> DataFrame:
     """question, state (passed / empty / error), message for each stored question with its default parameters.
 
-    One row per question decides the state; no result is counted in full.
+    One row per question decides the state; no result is counted in full. A table that several questions ask is computed once and stored.
     """
+    sources = [question.source for question in model.questions]
+    tables = stored_once(tables, {name for name in sources if sources.count(name) > 1})
     rows = []
     for question in model.questions:
         try:
