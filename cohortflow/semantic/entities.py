@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cohortflow.plans.lineage import broadcast_if_small
+from cohortflow.plans.lineage import broadcast_if_small, cut_lineage
 from cohortflow.semantic.model import phrases
 
 #: Edits allowed from this length on. Shorter values have to be written as they are.
@@ -40,8 +40,11 @@ def match_values(asked: DataFrame, text: str, dictionary: DataFrame) -> DataFram
     """Columns of ``asked`` plus (phrase, column, value, distance) for every dictionary value that a phrase of the text names or nearly names.
 
     Phrases are runs of at most as many words as the longest value has, in lower case. Every distinct phrase is looked up once. Null and
-    empty texts match nothing; equal rows of ``asked`` stay apart.
+    empty texts match nothing; equal rows of ``asked`` stay apart. Rows that lie in few files are spread over all cores first: the work is
+    in their phrases, not in their bytes.
     """
+    cores = asked.sparkSession.sparkContext.defaultParallelism
+    asked = asked if asked.rdd.getNumPartitions() >= cores else asked.repartition(cores)
     longest = dictionary.agg(F.coalesce(F.max(F.size(F.split("value", r"[^\p{L}\p{N}_]+"))), F.lit(1)).alias("n")).first()["n"]
     found = asked.withColumn("phrase", F.explode(F.array_distinct(phrases(F.col(text), longest))))
     distinct = found.select("phrase").distinct()
@@ -49,4 +52,5 @@ def match_values(asked: DataFrame, text: str, dictionary: DataFrame) -> DataFram
     candidates = distinct.withColumn("pair", F.explode(character_pairs(F.col("phrase")))).join(index, "pair")
     near = candidates.filter(F.abs(F.length("phrase") - F.length("spelling")) <= F.col("edits")).select("phrase", "column", "value", "spelling", "edits").distinct()
     judged = near.withColumn("distance", F.levenshtein("phrase", "spelling")).filter(F.col("distance") <= F.col("edits"))
-    return found.join(broadcast_if_small(judged.select("phrase", "column", "value", "distance")), "phrase")
+    named = cut_lineage(judged.select("phrase", "column", "value", "distance"))  # counted and then joined: judged once for both
+    return found.join(broadcast_if_small(named), "phrase")

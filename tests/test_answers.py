@@ -35,6 +35,14 @@ def test_matches_equal_all_pairs(spark):
     assert found == expected and (90, "stabel disease", "c", "Stable Disease", 2) in found
 
 
+def test_rows_of_one_file_are_matched_by_all_cores(spark, tmp_path):
+    spark.range(40).selectExpr("id", "concat('bolt ', id) AS t").coalesce(1).write.parquet(str(tmp_path / "asked"))
+    asked = spark.read.parquet(str(tmp_path / "asked"))
+    found = match_values(asked, "t", spark.createDataFrame([("c", "bolt")], "column string, value string"))
+    assert asked.rdd.getNumPartitions() == 1 and found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert sorted(r["id"] for r in found.filter("phrase = 'bolt'").collect()) == [*range(40)]
+
+
 def graded(spark, actual, a, expected, e, **more):
     row = grade(spark.createDataFrame(actual, a), spark.createDataFrame(expected, e), **more).first()
     return row["correct"], row["missing"], row["surplus"], row["n_rows"]
