@@ -196,6 +196,28 @@ def test_svd_equals_a_dense_one():
     assert latent_leaks.common_subsequence(latent_leaks.masks_of([1, 2, 3, 4]), 4, [2, 9, 1, 3, 1, 4]) == 3
 
 
+def test_the_basis_is_fitted_on_every_document(spark):
+    """Against the dense decomposition of all passages: a few documents with words of their own count, among many others."""
+    rng = np.random.default_rng(5)
+    n = 12_000
+    common, rare = rng.integers(1, 9, (n, 6)), np.tile([9, 10, 11, 12], 16)
+    texts = [rare.astype(np.uint16).tobytes() if i in (77, 5_000) else common[i].astype(np.uint16).tobytes() for i in range(n)]
+    coded = spark.createDataFrame([(i, bytearray(t)) for i, t in enumerate(texts)], "doc_id long, ids binary").repartition(3)
+    weight, energy = latent_leaks.word_weights(coded, 12, [latent_leaks.Probe(0, tuple(range(1, 13)))], np.uint16)
+    rows = latent_leaks.Rows(texts, weight, np.uint16)
+    assert np.isclose(energy, (weight[rows.words] ** 2).sum())
+    dense = rows.passages(np.diag(weight).astype(np.float32)).astype(float)
+    for probes in (None, np.eye(13)[[9, 3]] * weight):
+        gram = dense.T @ dense
+        if probes is not None:
+            gram += latent_leaks.PROBE_SHARE * 2 * energy / (probes**2).sum() * probes.T @ probes
+        vectors, singular = latent_leaks.randomised_svd(coded, weight, np.uint16, 12, energy, probes)
+        expected = np.sqrt(np.maximum(np.linalg.eigvalsh(gram)[::-1], 0))
+        assert np.allclose(singular[:9], expected[:9], rtol=1e-3)
+        assert np.allclose(vectors.T @ vectors, np.eye(vectors.shape[1]), atol=1e-6)
+        assert np.linalg.norm(vectors[9:13]) > 0.9  # the rare words' direction
+
+
 def test_policies_and_ablations(docs):
     ledger = rule_ledger.ledger(docs).cache()
     rows = ledger.collect()
