@@ -38,7 +38,7 @@ COMMON = 0.05
 #: Energy of the benchmark texts in the fit, in shares of the passages'.
 PROBE_SHARE = 4.0
 #: Bytes of coded documents that a task works on at once: their rows of the basis take some hundred times as much.
-SLICE_BYTES = 1 << 18
+SLICE_BYTES = 1 << 19
 #: Candidates whose words are counted in one step.
 STEP_PAIRS = 2048
 #: Weighted words that one step of a sum spells out.
@@ -161,7 +161,8 @@ class Rows:
             words = self.words[some]
             edge = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
             sums[np.searchsorted(known, words[edge])] += np.add.reduceat(each[self.of[some]], edge)
-        return known, sums * weight[known, None]
+        sums *= weight[known, None]
+        return known, sums
 
 
 def _summed(coded: DataFrame, width: int, weight: np.ndarray, kind: type, step) -> dict[int, np.ndarray]:
