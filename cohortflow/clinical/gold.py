@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortflow.operators.joins import join_dim
 from cohortflow.operators.latest import latest_per_group
 from cohortflow.operators.report import group_report
+from cohortflow.plans.lineage import is_small
 
 TRIAL_ATTRIBUTES = ("trial_name", "phase", "sponsor", "indication")
 #: ``visit_number`` alone may tie, so the visit date and the row's id decide.
@@ -34,6 +35,10 @@ VISIT_COLUMNS = (
     "blood_pressure_diastolic", "heart_rate_bpm", "alt_iu_l", "creatinine_mg_dl", "tumor_size_mm",
 )
 PATIENT_COLUMNS = ("age", "gender", "region", "bmi", "num_pre_existing")
+PAIR = ["patient_id", "trial_id"]
+EVENT_COUNTS = ["adverse_event_count", "serious_ae_count"]
+#: Parts that the trials of a patient are dealt to, each a task of its own if need be.
+TRIAL_PARTS = 8
 
 
 @dataclass(frozen=True)
@@ -92,12 +97,33 @@ def patient_outcomes(
 ) -> DataFrame:
     """Latest visit per (patient, trial) with demographics and event counts (null without any event).
 
-    The event counts are joined first: both sides are already partitioned by (patient, trial), so that
-    join adds no shuffle. The patients come last, where AQE may split a hot patient.
+    The event counts are joined first: both sides are already partitioned by (patient, trial), so that join adds no shuffle. The patients
+    come last. Patients that are too many for a broadcast would move all those wide rows again: then see ``_outcomes_by_patient``.
     """
-    keys = ["patient_id", "trial_id"]
-    visits = latest_per_group(results, keys, latest)
-    with_events = join_dim(visits, event_counts(events), keys, ["adverse_event_count", "serious_ae_count"])
-    return join_dim(with_events, patients, ["patient_id"], PATIENT_COLUMNS).select(
-        *keys, *VISIT_COLUMNS, *PATIENT_COLUMNS, "adverse_event_count", "serious_ae_count"
-    )
+    attributes = patients.select("patient_id", *PATIENT_COLUMNS)
+    if is_small(attributes):
+        visits = latest_per_group(results, PAIR, latest)
+        with_events = join_dim(visits, event_counts(events), PAIR, EVENT_COUNTS)
+        joined = join_dim(with_events, attributes, ["patient_id"], PATIENT_COLUMNS)
+    else:
+        joined = _outcomes_by_patient(results, attributes, events, latest)
+    return joined.select(*PAIR, *VISIT_COLUMNS, *PATIENT_COLUMNS, *EVENT_COUNTS)
+
+
+def _outcomes_by_patient(results: DataFrame, patients: DataFrame, events: DataFrame, latest: Sequence[str | Column]) -> DataFrame:
+    """The same rows with one shuffle of the visits: they and the event counts are dealt by patient and a part of the trials.
+
+    The counts reach the visits of their pair, the latest visit is picked and the patients are joined where the rows lie then. A patient with
+    most of the rows is ``TRIAL_PARTS`` tasks; every patient comes once for each part.
+    """
+    kinds = dict(results.dtypes)
+    counts = event_counts(events).select(*[F.col(k).try_cast(kinds[k]).alias(k) for k in PAIR], *[F.col(c).alias(f"_{c}") for c in EVENT_COUNTS])
+    part = F.pmod(F.xxhash64("trial_id"), F.lit(TRIAL_PARTS)).cast("int")  # an expression, not a column that would move along
+    dealt = results.unionByName(counts, allowMissingColumns=True).repartition("patient_id", part)
+    # as in a join, a null key has no counts
+    known = F.col("patient_id").isNotNull() & F.col("trial_id").isNotNull()
+    pair = Window.partitionBy("patient_id", part, "trial_id")
+    attached = dealt.withColumns({c: F.when(known, F.max(f"_{c}").over(pair)) for c in EVENT_COUNTS})
+    visits = attached.filter(F.col(f"_{EVENT_COUNTS[0]}").isNull()).drop(*[f"_{c}" for c in EVENT_COUNTS]).withColumn("_part", part)
+    every_part = patients.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(TRIAL_PARTS - 1)))).hint("merge")
+    return join_dim(latest_per_group(visits, ["patient_id", "_part", "trial_id"], latest), every_part, ["patient_id", "_part"], PATIENT_COLUMNS)

@@ -76,6 +76,36 @@ def test_event_counts_join_adds_no_shuffle_on_the_visit_side(spark):
     assert plan.count("Exchange hashpartitioning") == 4
 
 
+def outcome_tables(spark):
+    """Null and repeated keys, ties, pairs with events only and patients that are listed twice or not at all."""
+    visits = results(
+        spark,
+        [(f"R{i}", None if i % 11 == 0 else f"p{i % 5}", None if i % 13 == 0 else f"T{i % 7}", i % 3, "2020-01-01", f"a{i}") for i in range(200)],
+    )
+    patients = spark.createDataFrame(
+        [("p1", 40, "Male", "Asia", 20.0, 1), ("p1", 41, "Male", "Asia", 21.0, 2), ("p2", 50, None, "Asia", 22.0, 3), (None, 60, "Male", "Asia", 23.0, 4)],
+        "patient_id string, age int, gender string, region string, bmi double, num_pre_existing int",
+    )
+    rows = [(None if i % 17 == 0 else f"T{i % 9}", "D", None if i % 11 == 0 else f"p{i % 6}", i % 2 == 0, "Mild", 1.0, True, "x") for i in range(60)]
+    return visits, patients, spark.createDataFrame([*rows, ("T0", "D", "p0", None, "Mild", 1.0, None, "x")], EVENT)
+
+
+def test_outcomes_of_many_patients_are_the_same_rows(spark, monkeypatch):
+    tables = outcome_tables(spark)
+    few = gold.patient_outcomes(*tables).collect()
+    monkeypatch.setattr(gold, "is_small", lambda df: False)
+    many = gold.patient_outcomes(*tables)
+    assert len(few) > 40 and any(r["serious_ae_count"] for r in few) and sorted(map(str, many.collect())) == sorted(map(str, few))
+
+
+def test_wide_visits_move_once_where_patients_are_many(spark, monkeypatch):
+    monkeypatch.setattr(gold, "is_small", lambda df: False)
+    plan = gold.patient_outcomes(*outcome_tables(spark))._jdf.queryExecution().executedPlan().toString()
+    # the event counts, the visits with them, and the patients: no shuffle above the window
+    assert plan.count("Exchange hashpartitioning") == 3
+    assert "Exchange" not in plan[: plan.index("WindowGroupLimit")]
+
+
 def test_rounded_mean_rounds_half_up_whatever_the_order(spark):
     values = [3.1, 3.05, 3.1, 3.05] * 25
     for order in (values, values[::-1], sorted(values)):
