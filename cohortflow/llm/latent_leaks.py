@@ -14,6 +14,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,8 @@ PROBE_SHARE = 4.0
 SLICE_BYTES = 1 << 19
 #: Candidates whose words are counted in one step.
 STEP_PAIRS = 2048
-#: Weighted words that one step of a sum spells out.
-STEP_WORDS = 8192
+#: Rows that one step of a sum adds, which stay in a core's cache, and the most rows that one group of a sum adds before its parts are added in turn.
+STEP_ROWS, GROUP_ROWS = 512, 64
 
 
 def folded_words(text: bytes) -> list[bytes]:
@@ -105,13 +106,39 @@ def _coded(docs: DataFrame, vocabulary: dict[bytes, int], text: str, doc_id: str
             found = []
             for whole in as_bytes(batch, "text"):
                 words = folded_words(whole)
-                ids = np.fromiter((number(w, 0) for w in words), kind, len(words))
+                ids = np.fromiter(map(number, words, repeat(0)), kind, len(words))
                 found.append(ids.tobytes() if ids.any() else None)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "ids"])
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema).filter(F.col("ids").isNotNull())
 
 
+def summed_rows(of: np.ndarray, groups: int, picks: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Per group the sum of the rows ``picks`` of ``table``, in the order given; ``of`` is the group of each pick.
+
+    Groups are ranked by their size, so that the n-th rows of all groups that have so many are added at once, to a run of sums without gaps.
+    """
+    counts = np.bincount(of, minlength=groups)
+    order = np.argsort(of, kind="stable")
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+    if len(of) and counts.max() > GROUP_ROWS:
+        parts = -(-counts // GROUP_ROWS)
+        part = np.repeat(np.cumsum(parts) - parts, counts) + nth // GROUP_ROWS
+        return summed_rows(np.repeat(np.arange(groups), parts), groups, np.arange(parts.sum()), summed_rows(part, int(parts.sum()), picks[order], table))
+    ranked = np.argsort(-counts, kind="stable")
+    place = np.empty(groups, np.int64)
+    place[ranked] = np.arange(groups)
+    picks = picks[order[np.argsort(nth * groups + place[of[order]], kind="stable")]]
+    sums, some, at = np.zeros((groups, table.shape[1]), table.dtype), np.empty((STEP_ROWS, table.shape[1]), table.dtype), 0
+    for size in np.bincount(nth).tolist():
+        for start in range(0, size, STEP_ROWS):
+            stop = min(start + STEP_ROWS, size)
+            np.take(table, picks[at + start : at + stop], axis=0, out=some[: stop - start], mode="clip")
+            sums[start:stop] += some[: stop - start]
+        at += size
+    return sums[place]
+
+
 class Rows:
     """A slice of documents as sparse rows: per weighted word its number and block; blocks of different documents stay apart."""
 
@@ -140,29 +167,18 @@ class Rows:
 
     def passages(self, table: np.ndarray) -> np.ndarray:
         """The passages' rows times ``table`` (one row per word): block sums, each with its successor in the same document."""
-        sums = np.zeros((self.total + 1, table.shape[1]), np.float32)
-        for at in range(0, len(self.words), STEP_WORDS):
-            of = self.of[at : at + STEP_WORDS]
-            edge = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-            sums[of[edge]] += np.add.reduceat(table[self.words[at : at + STEP_WORDS]], edge)  # a block may go on in the next step
-        both = sums[:-1].copy()
-        both[~self.last] += sums[1:][~self.last]
+        sums = summed_rows(self.of, self.total, self.words, table)
+        more = np.flatnonzero(~self.last)
+        both = sums.copy()
+        both[more] += sums[more + 1]
         return both
 
     def transposed(self, rows: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """word, its row of (passages transposed times ``rows``)."""
         each = rows.copy()  # a block lies in its own passage and in the one before
         each[1:][~self.last[:-1]] += rows[:-1][~self.last[:-1]]
-        order = np.argsort(self.words, kind="stable")
-        known = np.unique(self.words)
-        sums = np.zeros((len(known), rows.shape[1]))
-        for at in range(0, len(order), STEP_WORDS):
-            some = order[at : at + STEP_WORDS]
-            words = self.words[some]
-            edge = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
-            sums[np.searchsorted(known, words[edge])] += np.add.reduceat(each[self.of[some]], edge)
-        sums *= weight[known, None]
-        return known, sums
+        known, number = np.unique(self.words, return_inverse=True)
+        return known, summed_rows(number, len(known), self.of, each) * weight[known, None]
 
 
 def _summed(coded: DataFrame, width: int, weight: np.ndarray, kind: type, step) -> dict[int, np.ndarray]:

@@ -184,6 +184,17 @@ def test_a_text_leaked_into_a_third_of_all_documents_is_found_in_each(spark):
     assert {(r["doc_id"], r["item_id"]) for r in latent_leaks.find_leaks(frame, benchmark).collect()} == planted
 
 
+@pytest.mark.parametrize("picks", [0, 1, 700, 9000])
+def test_rows_are_summed_by_group_however_unequal_the_groups(picks):
+    """Hot groups, with more rows than one group of a sum adds at once, next to empty ones."""
+    random = np.random.default_rng(picks)
+    table, groups = random.integers(-8, 8, size=(50, 3)).astype(np.float32), 40
+    of, rows = np.where(random.random(picks) < 0.7, 5, random.integers(0, groups - 1, picks)), random.integers(0, 50, picks)
+    expected = np.zeros((groups, 3), np.float32)
+    np.add.at(expected, of, table[rows])
+    assert np.array_equal(latent_leaks.summed_rows(of, groups, rows, table), expected)
+
+
 def test_svd_equals_a_dense_one():
     rng = np.random.default_rng(0)
     weight = np.concatenate([[0], rng.random(30)])
