@@ -10,6 +10,7 @@ from cohortflow.learning import encode, ensemble, metrics, runs, search, split
 from cohortflow.learning.model_registry import CHALLENGER, CHAMPION, ModelRegistry, batch_score, champion_gate, inference_check, schema_check
 from cohortflow.learning.search import SearchSpace, param_search
 from cohortflow.learning.train import BoosterParams, FeatureColumns, ablate_feature, evaluate_splits, feature_importance, prefixes, train_gbt, with_probability
+from cohortflow.operators.quality import assert_probability
 from cohortflow.plans.lineage import broadcast_if_small, shared_dir
 from cohortflow.plans.ordered import running_totals
 
@@ -170,6 +171,16 @@ def test_gate_registry_and_inference(spark, tmp_path):
     assert batch_score(good, odd).filter("predicted_probability BETWEEN 0 AND 1").count() == 3
 
 
+def test_trees_are_walked_once_a_row_whatever_asks_for_the_score(spark):
+    rows = training_rows(spark)
+    model = train_gbt(rows, "label", FeatureColumns.of(rows, ["id", "label", "split"]), SMALL)
+    checked = assert_probability(batch_score(model, rows), "predicted_probability")
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    # assembling, margins, probabilities and the array of them: one function each, none again in the check
+    assert plan.count("UDF(") == 4
+    assert checked.count() == rows.count()
+
+
 def test_search_reports_one_row_per_trial(spark):
     rows = training_rows(spark, 300)
     features = FeatureColumns.of(rows, ["id", "label", "split", "leak"])
