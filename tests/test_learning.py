@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from cohortflow.learning import encode, ensemble, metrics, runs, search, split
+from cohortflow.learning import encode, ensemble, metrics, runs, search, split, train
 from cohortflow.learning.model_registry import CHALLENGER, CHAMPION, ModelRegistry, batch_score, champion_gate, inference_check, schema_check
 from cohortflow.learning.search import SearchSpace, param_search
 from cohortflow.learning.train import BoosterParams, FeatureColumns, ablate_feature, evaluate_splits, feature_importance, prefixes, train_gbt, with_probability
@@ -181,6 +181,14 @@ def test_trees_are_walked_once_a_row_whatever_asks_for_the_score(spark):
     assert checked.count() == rows.count()
 
 
+def test_both_models_of_an_ablation_are_judged_on_stored_test_rows(spark, monkeypatch):
+    judged, real = [], train.evaluate_splits
+    monkeypatch.setattr(train, "evaluate_splits", lambda model, rows, *more: judged.append(rows) or real(model, rows, *more))
+    rows = training_rows(spark)
+    ablate_feature(rows, "label", FeatureColumns.of(rows, ["id", "label", "split"]), "leak", SMALL)
+    assert len(judged) == 2 and all(len(r.inputFiles()) > 0 and r.count() == rows.filter("split = 'test'").count() for r in judged)
+
+
 def test_search_reports_one_row_per_trial(spark):
     rows = training_rows(spark, 300)
     features = FeatureColumns.of(rows, ["id", "label", "split", "leak"])
