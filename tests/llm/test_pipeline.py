@@ -4,6 +4,7 @@ import os
 import re
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -105,3 +106,22 @@ def test_the_mix_counts_words_and_meets_targets(chain):
 def test_run_gives_the_rows_of_the_chain(chain, spark):
     got = sorted((r["doc_id"], r["size"], r["taken"]) for r in corpus_pipeline.run(spark, SF).collect())
     assert got == sorted((r["doc_id"], r["size"], r["taken"]) for r in chain["mix"][1])
+
+
+def test_whole_texts_travel_in_small_batches(spark):
+    """Every stage called by itself bounds what its lazy result reads and sends at once: before, this was one batch of 3,000 rows and 30 MB."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    docs, long = spark.read.parquet(f"{SF}/documents.parquet").limit(20), spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 10000) AS text")
+    short = spark.range(0, 3000, 1, 1).selectExpr("'x' AS text")
+    for name, stage in corpus_pipeline.STAGES:
+        for conf in corpus_pipeline.BATCHES:
+            spark.conf.unset(conf)
+        stage(spark, docs, SF)
+        sent = long.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r["n"] for r in sent) == 3000 and max(r["size"] for r in sent) < 5 << 20, name
+        assert [r["n"] for r in short.mapInArrow(sizes, "n long, size long").collect()] == [1000] * 3, name
+        assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "512", name
