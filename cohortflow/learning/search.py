@@ -11,7 +11,7 @@ import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
-from cohortflow.learning.train import FIT_ROWS, BoosterParams, FeatureColumns, evaluate_splits, params_as_text, train_gbt
+from cohortflow.learning.train import BoosterParams, FeatureColumns, evaluate_splits, params_as_text, train_gbt
 
 #: Budget. 32 trials, of which 5 at random, and an end after 20 without a better one.
 TRIALS, STARTUP, STALE = 32, 5, 20
@@ -150,7 +150,6 @@ def param_search(
     space: SearchSpace = SearchSpace(),
     seed: int = 42,
     parallelism: int = 1,
-    fit_rows: int = FIT_ROWS,
     stale: int = STALE,
 ) -> DataFrame:
     """trial, params, metrics, one row per trial; the best has the largest ``validation_roc_auc``.
@@ -161,7 +160,7 @@ def param_search(
 
     def objective(place: Sequence[float], number: int) -> float | None:
         params = space.params(place, seed)
-        found = evaluate_splits(train_gbt(split_rows, label, features, params, fit_rows=fit_rows), split_rows, label, ("validation",))
+        found = evaluate_splits(train_gbt(split_rows, label, features, params), split_rows, label, ("validation",))
         rows.append((number, params_as_text(params), found))
         return found.get("validation_roc_auc")
 

@@ -16,7 +16,7 @@ from cohortflow.learning.encode import select_features
 from cohortflow.learning.model_registry import ModelRegistry, champion_gate, inference_check
 from cohortflow.learning.search import TRIALS, SearchSpace, param_search, params_of
 from cohortflow.learning.split import hash_split, stratified_split
-from cohortflow.learning.train import FIT_ROWS, BoosterParams, FeatureColumns, evaluate_splits, params_as_text, train_gbt
+from cohortflow.learning.train import BoosterParams, FeatureColumns, evaluate_splits, params_as_text, train_gbt
 from cohortflow.plans.lineage import materialise_evenly
 from cohortflow.sources.tables import dataset_fingerprint
 
@@ -39,7 +39,6 @@ class ModelJob:
     space: SearchSpace = SearchSpace()
     trials: int = TRIALS
     parallelism: int = 1
-    fit_rows: int = FIT_ROWS
     seed: int = 42
     exact_split: bool = True
 
@@ -72,10 +71,10 @@ class ModelJob:
         def log(stage: str, params: BoosterParams, metrics: dict, parent: str | None = None) -> str:
             return runs.log_run(spark, self.runs_path, self.name, stage, params_as_text(params), metrics, tags, parent)
 
-        baseline = train_gbt(rows, "label", features, self.baseline, early_stop=False, fit_rows=self.fit_rows)
+        baseline = train_gbt(rows, "label", features, self.baseline, early_stop=False)
         log("baseline", self.baseline, evaluate_splits(baseline, rows, "label"))
 
-        found = param_search(rows, "label", features, self.trials, self.space, self.seed, self.parallelism, self.fit_rows).collect()
+        found = param_search(rows, "label", features, self.trials, self.space, self.seed, self.parallelism).collect()
         parent = runs.log_run(spark, self.runs_path, self.name, "search", {"trials": str(self.trials)}, tags=tags)
         for row in found:
             log("trial", params_of(row), row["metrics"], parent)
@@ -86,7 +85,7 @@ class ModelJob:
 
         best = params_of(max(found, key=rank))
 
-        final = train_gbt(rows, "label", features, best, fit_rows=self.fit_rows)
+        final = train_gbt(rows, "label", features, best)
         log("final", best, evaluate_splits(final, rows, "label"))
         registry = ModelRegistry(spark, f"{self.work_dir}/models")
         inputs = rows.select(*features.names).schema.json()

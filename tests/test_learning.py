@@ -4,9 +4,10 @@ import re
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from cohortflow.learning import encode, ensemble, metrics, runs, search, split, train
+from cohortflow.learning import bins, encode, ensemble, metrics, runs, search, split, train
 from cohortflow.learning.model_registry import CHALLENGER, CHAMPION, ModelRegistry, batch_score, champion_gate, inference_check, schema_check
 from cohortflow.learning.search import SearchSpace, param_search
 from cohortflow.learning.train import BoosterParams, FeatureColumns, ablate_feature, evaluate_splits, feature_importance, prefixes, train_gbt, with_probability
@@ -189,6 +190,55 @@ def test_both_models_of_an_ablation_are_judged_on_stored_test_rows(spark, monkey
     assert len(judged) == 2 and all(len(r.inputFiles()) > 0 and r.count() == rows.filter("split = 'test'").count() for r in judged)
 
 
+def test_a_fit_reads_all_labelled_rows(spark, monkeypatch):
+    fitted, judged = [], []
+    fit, margins = train.GBTClassifier.fit, ensemble.running_margins
+    monkeypatch.setattr(train.GBTClassifier, "fit", lambda self, rows, *more: fitted.append(rows.count()) or fit(self, rows, *more))
+    monkeypatch.setattr(ensemble, "running_margins", lambda rows, *more: judged.append(rows.count()) or margins(rows, *more))
+    rows = training_rows(spark, 64_000)
+    ablate_feature(rows, "label", FeatureColumns.of(rows, ["id", "label", "split"]), "leak", SMALL)
+    assert fitted == 2 * [rows.filter("split = 'train'").count()] and judged == 2 * [rows.filter("split = 'validation'").count()]
+
+
+@pytest.mark.parametrize("n", [0, 1, 25_000, 25_001, 340_000, 20_400_000, 10**9])
+def test_partitions_of_a_fit_hold_a_bounded_number_of_rows(n):
+    parts = train.fit_partitions(n)
+    assert parts >= 1 and n / parts <= 250_000 and (n < 25_000 * 64 or parts >= 64)
+
+
+def test_thresholds_come_from_all_rows(spark):
+    x = F.when(F.col("id") == 77, 500.0).when(F.col("id") % 10 == 0, float("nan")).otherwise((F.col("id") % 3).cast("double"))
+    rows = VectorAssembler(inputCols=["x", "id", "same"], outputCol="features", handleInvalid="keep").transform(spark.range(1000).select("id", x.alias("x"), F.lit(-0.0).alias("same")))
+    few, many, none = bins.thresholds(rows.repartition(5), "features", 8)
+    assert few == [0.5, 1.5, 251.0] and none == []  # one row of a thousand has the last value
+    assert many == [124.5, 249.5, 374.5, 499.5, 624.5, 749.5, 874.5]
+    found = {r["id"]: vector.toArray().tolist() for r in bins.to_bins(rows, "features", [few, many, none]).collect() for vector in [r["features"]]}
+    assert found[77] == [3, 0, 0] and found[10] == [3, 0, 0] and found[124] == [1, 0, 0] and found[125] == [2, 1, 0] and found[999] == [0, 7, 0]
+    assert bins.between(1.0, np.nextafter(1.0, 2)) == 1.0 and bins.between(float("-inf"), float("inf")) == float("-inf") and bins.between(3.0, float("inf")) == 3.0
+
+
+def test_a_large_fit_states_its_thresholds_over_the_values(spark, monkeypatch):
+    rows = training_rows(spark)
+    features = FeatureColumns(["kind"], ["weak", "third"], ["flag"])
+    rows = rows.withColumn("third", (F.col("id") % 5 / 7).cast("double"))
+    params = BoosterParams(trees=4, leaves=8, min_rows=5)
+    small = train_gbt(rows, "label", FeatureColumns(["kind"], ["third"], ["flag"]), params, early_stop=False)
+    seen, fit = [], train.GBTClassifier.fit
+    monkeypatch.setattr(train, "BINS", 16)  # more than 256 rows are many now
+    monkeypatch.setattr(train.GBTClassifier, "fit", lambda self, rows, *more: seen.append((self, rows, fit(self, rows, *more))) or seen[-1][2])
+    large = train_gbt(rows, "label", FeatureColumns(["kind"], ["third"], ["flag"]), params, early_stop=False)
+    assert large.stages[-1].toDebugString.split("\n")[1:] == small.stages[-1].toDebugString.split("\n")[1:]  # all values had thresholds before
+    assert (large.stages[-1].featureImportances.toArray() == small.stages[-1].featureImportances.toArray()).all()
+    model = train_gbt(rows, "label", features, params)
+    learner, numbers, booster = seen[-1]
+    assert learner.getMaxBins() ** 2 >= numbers.count() == rows.filter("split = 'train'").count()
+    assert max(max(r["features"]) for r in numbers.collect()) <= 15
+    kept = model.stages[-1].getNumTrees
+    over_bins = sorted(r["probability"][1] for r in ensemble.shortened(booster, kept).transform(numbers).collect())
+    over_values = sorted(r["probability"][1] for r in model.transform(rows.filter("split = 'train'")).collect())
+    assert over_bins == pytest.approx(over_values, abs=1e-12)
+
+
 def test_search_reports_one_row_per_trial(spark):
     rows = training_rows(spark, 300)
     features = FeatureColumns.of(rows, ["id", "label", "split", "leak"])
