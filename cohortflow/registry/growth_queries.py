@@ -35,9 +35,21 @@ def _events_in_batches(spark: SparkSession, d: str) -> tuple[SilverBatches, Data
         stream = json_stream(spark, f"{source}/*", raw.schema, "*.json.gz", multi_line=False)
         append_to_path(stream, bronze, f"{root}/files").awaitTermination()
         silver.update(spark.readStream.schema(spark.read.parquet(bronze).schema).parquet(bronze))
+    _lose_commit(spark, f"{root}/marks")
+    silver.update(spark.readStream.schema(spark.read.parquet(bronze).schema).parquet(bronze))
     return silver, raw
 
 
+def _lose_commit(spark: SparkSession, marks: str) -> None:
+    """Remove the last commit among a stream's marks, as if the stream had died before it: the next start gives that batch once more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    commits = hadoop.Path(f"{marks}/commits")
+    files = commits.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(commits)] if files.exists(commits) else []
+    if numbers := [int(name) for name in names if name.isdigit()]:
+        files.delete(hadoop.Path(commits, str(max(numbers))), False)
+
+
 def _silver_incremental(spark: SparkSession, d: str) -> DataFrame:
     silver, raw = _events_in_batches(spark, d)
     like = to_silver(raw.withColumn(INGESTED_AT, F.current_timestamp()), ADVERSE_EVENTS).schema

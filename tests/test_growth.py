@@ -13,6 +13,7 @@ from cohortflow.plans import medallion
 from cohortflow.plans.incremental import GroupState, StateTable, sign_of, touched
 from cohortflow.plans.layout import cluster_on_curve, with_curve_position
 from cohortflow.plans.model_job import ModelJob
+from cohortflow.registry import growth_queries
 from cohortflow.registry.gold_queries import raw_rows
 from cohortflow.sources import tables
 from cohortflow.sources.snapshots import snapshot_diff
@@ -42,6 +43,21 @@ def test_a_replayed_batch_counts_once(spark, tmp_path, bronze):
     assert silver.rows(like).count() == to_silver(bronze, ADVERSE_EVENTS).count()
 
 
+@pytest.mark.parametrize("name", ["silver_incremental", "silver_ledger"])
+def test_the_second_batch_is_given_once_more(spark, monkeypatch, bronze, rows, name):
+    given, write = [], SilverBatches.write
+    raw = bronze.drop(INGESTED_AT).withColumn("dosage_mg", F.col("dosage_mg").cast("double")).limit(500).cache()
+    monkeypatch.setattr(SilverBatches, "write", lambda self, batch, number: given.append((number, rows(batch, "event_id", "days_on_treatment"))) or write(self, batch, number))
+    monkeypatch.setattr(growth_queries, "raw_rows", lambda *_: raw)
+    found = growth_queries.QUERIES[name][0](spark, SF)
+    first, second = (rows(raw.filter(part), "event_id", "days_on_treatment") for part in ("days_on_treatment <= 90", "days_on_treatment > 90"))
+    assert given == [(0, first), (1, second), (1, second)] and first and second
+    if name == "silver_incremental":
+        assert found.count() == to_silver(raw.withColumn(INGESTED_AT, F.current_timestamp()), ADVERSE_EVENTS).count()
+    else:
+        assert {r["passed"] + r["failed"] for r in found.collect()} == {raw.count()}
+
+
 def test_a_batch_without_a_ledger_entry_is_not_seen(spark, tmp_path, bronze):
     silver = SilverBatches(spark, str(tmp_path / "s"), ADVERSE_EVENTS)
     kept = to_silver(bronze, ADVERSE_EVENTS)
