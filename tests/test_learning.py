@@ -213,7 +213,7 @@ def test_thresholds_come_from_all_rows(spark):
     assert few == [0.5, 1.5, 251.0] and none == []  # one row of a thousand has the last value
     assert many == [124.5, 249.5, 374.5, 499.5, 624.5, 749.5, 874.5]
     found = {r["id"]: vector.toArray().tolist() for r in bins.to_bins(rows, "features", [few, many, none]).collect() for vector in [r["features"]]}
-    assert found[77] == [3, 0, 0] and found[10] == [3, 0, 0] and found[124] == [1, 0, 0] and found[125] == [2, 1, 0] and found[999] == [0, 7, 0]
+    assert found[77] == [3, 0, 0] and np.isnan(found[10][0]) and found[10][1:] == [0, 0] and found[124] == [1, 0, 0] and found[125] == [2, 1, 0] and found[999] == [0, 7, 0]
     assert bins.between(1.0, np.nextafter(1.0, 2)) == 1.0 and bins.between(float("-inf"), float("inf")) == float("-inf") and bins.between(3.0, float("inf")) == 3.0
 
 
@@ -237,6 +237,8 @@ def test_a_large_fit_states_its_thresholds_over_the_values(spark, monkeypatch):
     over_bins = sorted(r["probability"][1] for r in ensemble.shortened(booster, kept).transform(numbers).collect())
     over_values = sorted(r["probability"][1] for r in model.transform(rows.filter("split = 'train'")).collect())
     assert over_bins == pytest.approx(over_values, abs=1e-12)
+    with pytest.raises(Exception, match="NaN"):  # refused, as in small fits
+        train_gbt(rows.withColumn("third", F.when(F.col("id") % 50 != 7, F.col("third"))), "label", features, params)
 
 
 def test_search_reports_one_row_per_trial(spark):
